@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from terrane.llm._bytes import as_binary, runs
 
-CHUNK, FILTERS, WIDTH = 256, 12, 6
+CHUNK, FILTERS, WIDTH = 256, 8, 6
 #: The fit reads at most so many labelled texts, and of each at most so many pieces of so many bytes, spread over all of it.
-SAMPLE_ROWS, SAMPLE_PIECES, PIECE_BYTES = 3000, 12, 512
+SAMPLE_ROWS, SAMPLE_PIECES, PIECE_BYTES = 2000, 12, 512
 
 
 @dataclass
@@ -79,7 +79,7 @@ def _chunks(act: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.maximum(act[left], act[right]), np.where(act[left] >= act[right], left[:, None], right[:, None])
 
 
-def train(texts: list[bytes], labels: np.ndarray, epochs: int = 10, batch: int = 24, rate: float = 0.02, seed: int = 7) -> Network:
+def train(texts: list[bytes], labels: np.ndarray, epochs: int = 8, batch: int = 24, rate: float = 0.02, seed: int = 7) -> Network:
     """Fit by Adam on the logistic loss. The same texts and labels in the same order give the same network."""
     rng = np.random.default_rng(seed)
     net = Network(rng.normal(0, 0.25, (WIDTH, 256, FILTERS)).astype(np.float32), np.zeros(FILTERS, np.float32), rng.normal(0, 0.1, 2 * FILTERS).astype(np.float32), 0.0)
@@ -181,7 +181,7 @@ def score(df: DataFrame, net: Network, text: str = "text", out: str = "score") -
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
             scores = np.zeros(len(column))
-            for first, offsets, data in runs(column, 1 << 19):
+            for first, offsets, data in runs(column, 1 << 17):
                 scores[first : first + len(offsets) - 1] = net.score(data, offsets)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, out])
 

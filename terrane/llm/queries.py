@@ -69,6 +69,14 @@ FROM p LEFT JOIN g ON p.h = g.h
 """
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terrane.llm import ngram_join
+
+    rows, nodes = ngram_join.join(table(spark, sf_dir, "documents"))
+    links = F.when(F.col("copies").isNull(), F.lit(0)).otherwise(F.col("links") + F.col("copies") - 1)
+    return rows.join(nodes, "node", "left").select(F.col("id").alias("doc_id"), F.coalesce("class", "id").alias("class_id"), links.cast("long").alias("n_links"), "n_words")
+
+
 def op7_virtual_slots(spark: SparkSession, sf_dir: str, shards: int = 40) -> DataFrame:
     from terrane.llm import sharding
     from terrane.llm._shared import shared_dir
