@@ -16,6 +16,13 @@ def bucket(key: str, n: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % n
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terrane.llm import line_dedup
+
+    done = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", F.size("removed_lines").cast("long").alias("n_removed"), "removed_lines", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
