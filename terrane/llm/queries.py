@@ -100,6 +100,25 @@ def op7_virtual_slots(spark: SparkSession, sf_dir: str, shards: int = 40) -> Dat
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terrane.llm import substring_dedup
+
+    done = substring_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+ win AS (SELECT doc_id, i, list_slice(w, i, i + 49) AS p FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+ least AS (SELECT p, min(doc_id) AS m FROM win GROUP BY p HAVING min(doc_id) < max(doc_id)),
+ gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM (SELECT doc_id, i FROM win JOIN least USING (p) WHERE doc_id > m)),
+ kept AS (SELECT u.doc_id, count(*) AS n, string_agg(u.x, ' ' ORDER BY u.k) AS s
+          FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS k FROM d) u ANTI JOIN gone g ON u.doc_id = g.doc_id AND u.k = g.k GROUP BY u.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from terrane.llm import quality
 
@@ -114,4 +133,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": OP4_SQL, "op5_warc": OP5_SQL}
+    return {"op4_decontamination": OP4_SQL, "op5_warc": OP5_SQL, "op9_substring_dedup": OP9_SQL}
