@@ -100,6 +100,13 @@ def op7_virtual_slots(spark: SparkSession, sf_dir: str, shards: int = 40) -> Dat
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terrane.llm import embedding_dedup
+
+    done = embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return done.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from terrane.llm import substring_dedup
 
