@@ -34,6 +34,13 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, path, pattern).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terrane.llm import katz
+
+    scored = katz.score(table(spark, sf_dir, "documents"), bucket("doc_id", 5) != 1).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", F.coalesce(bucket("doc_id", 5) == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from terrane.llm import decontaminate
 
