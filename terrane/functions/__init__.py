@@ -1,0 +1,69 @@
+"""Column functions: text, dates, codes, rounding policies and geography."""
+
+from __future__ import annotations
+
+import re
+import unicodedata
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+EARTH_KM = 6371.0088
+
+
+def slug(c: Column) -> Column:
+    """Small letters and digits with single hyphens; if nothing is left, the first 8 characters of the MD5."""
+    s = F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "-"), F.lit("-"))
+    return F.when(s == "", F.substring(F.md5(c), 1, 8)).otherwise(s)
+
+
+def camel_split(c: Column) -> Column:
+    return F.regexp_replace(c, "([a-z])([A-Z])", "$1 $2")
+
+
+def before_bracket(c: Column) -> Column:
+    return F.trim(F.regexp_extract(c, "^([^(（]*)", 1))
+
+
+@F.pandas_udf(T.StringType())
+def normal_name(s: pd.Series) -> pd.Series:
+    """NFKD, ASCII, small letters a-z only."""
+    return s.map(lambda v: None if v is None else re.sub("[^a-z]", "", unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode().lower()))
+
+
+def fuzzy_date(c: Column, end: bool = False) -> Column:
+    """`~1897`, `1897-05`, `1897-05-02`: missing parts are the first ones, or for an end the last ones."""
+    y, m, d = (F.nullif(F.regexp_extract(c, r"(\d{4})(?:-(\d{2}))?(?:-(\d{2}))?", i), F.lit("")).cast("int") for i in (1, 2, 3))
+    month = F.coalesce(m, F.lit(12 if end else 1))
+    first = F.make_date(y, month, F.coalesce(d, F.lit(1)))
+    return F.when(d.isNull() & F.lit(end), F.last_day(first)).otherwise(first)
+
+
+def flags(letters: Column, values: dict[str, int]) -> Column:
+    """Sum of the bits whose letter occurs."""
+    out = F.lit(0)
+    for letter, bit in values.items():
+        out = out + F.when(F.contains(letters, F.lit(letter)), F.lit(bit)).otherwise(F.lit(0))
+    return out
+
+
+def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
+    a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
+    return 2 * EARTH_KM * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+
+
+def cell_km2(row: Column, degrees: float) -> Column:
+    """Area of a cell of a regular grid whose row 0 is the northernmost."""
+    north = 90 - row * degrees
+    return F.lit(EARTH_KM**2) * F.radians(F.lit(degrees)) * (F.sin(F.radians(north)) - F.sin(F.radians(north - degrees)))
+
+
+def zigzag(c: Column) -> Column:
+    return F.shiftleft(c, 1).bitwiseXOR(F.shiftright(c, 63))
+
+
+def share(part: Column, total: Column) -> Column:
+    """Null where the total is null or zero."""
+    return F.when(total != 0, part / total)

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from terrane.plans import measures, sets_and_codes, time_and_rules
+
+MODULES = (time_and_rules, measures, sets_and_codes)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {n: f for m in MODULES for n, f in vars(m).items() if inspect.isfunction(f) and f.__module__ == m.__name__ and n[0] != "_"}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {n: s.strip() for m in MODULES for n, s in m.SQL.items()}
