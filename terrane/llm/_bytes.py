@@ -6,7 +6,8 @@ are 64-bit polynomials over a fixed random table, read from prefix sums: no Pyth
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,22 @@ _BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1, 0x165667B19E3779F9 | 1
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def tidy(work: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same function of batches; when a task ends, the memory that its worker no longer uses goes back to the system,
+    because workers live on for later stages."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return run
+
+
 def as_binary(column) -> pa.Array:
     """A string or binary column as one large_binary array; null becomes empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -77,7 +94,7 @@ def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of a base and of its inverse modulo 2**64, grown by doubling."""
     got = _powers.get(which)
     if got is None or len(got[0]) < n:
-        size = max(1 << 20, 1 << (n - 1).bit_length()) if n else 1
+        size = max(1 << 17, 1 << (n - 1).bit_length()) if n else 1
         pair = []
         for base in (_BASES[which], pow(_BASES[which], -1, 1 << 64)):
             p = np.full(size, base, U64)

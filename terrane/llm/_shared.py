@@ -37,5 +37,13 @@ def discard(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of texts hold a few MB, unless the session asks for some size of its own: a batch has copies in the
+    JVM and in the worker, and two workers may stand behind one task."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) in ("67108864b", "64MB", "67108864"):
+        spark.conf.set(name, "8MB")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

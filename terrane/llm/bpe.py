@@ -19,7 +19,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from terrane.llm._bytes import as_binary
+from terrane.llm._bytes import as_binary, tidy
+from terrane.llm._shared import small_batches
 
 #: Bytes of a leaf of the tree.
 LEAF = 12
@@ -34,7 +35,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class TreeBPE:
     """Encoder and decoder of one rank file."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, kept: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, kept: int = 100_000):
         self.ranks, self.kept = ranks, kept
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.find = regex.compile(pattern).findall
@@ -134,7 +135,7 @@ class TreeBPE:
                         break
                 else:
                     j += 1
-            if len(self._pairs) > self.kept:
+            if len(self._pairs) > self.kept // 2:
                 self._pairs.clear()
             self._pairs[a, b] = known
         return known
@@ -165,7 +166,7 @@ class TreeBPE:
         half = len(piece) // 2
         out = self.join(self._tree(piece[:half]), self._tree(piece[half:]))
         if short:
-            if len(self._subtrees) > self.kept:
+            if len(self._subtrees) > self.kept // 4:
                 self._subtrees.clear()
             self._subtrees[piece] = out
         return out
@@ -209,16 +210,20 @@ class TreeBPE:
 
 
 class _Units(dict):
-    """Ids of a unit behind a fixed prefix, made when first asked for; emptied when it grows beyond its bound."""
+    """Ids of a unit behind a fixed prefix, made when first asked for. There are two generations: when the younger is full
+    it becomes the older, and what is still asked for comes over from there."""
 
     def __init__(self, owner: TreeBPE, prefix: str):
         super().__init__()
-        self.owner, self.prefix = owner, prefix
+        self.owner, self.prefix, self.older = owner, prefix, {}
 
     def __missing__(self, unit: str) -> bytes:
-        ids = self.owner._packed(self.prefix + unit)
+        ids = self.older.get(unit)
+        if ids is None:
+            ids = self.owner._packed(self.prefix + unit)
         if len(unit) <= 64:
             if len(self) >= self.owner.kept:
+                self.older = dict(self)
                 self.clear()
             self[unit] = ids
         return ids
@@ -235,6 +240,7 @@ def tokenizer(path: str, pattern: str) -> TreeBPE:
 
 
 def _mapped(df: DataFrame, column: str, out: str, kind: pa.DataType, sql: str, path: str, pattern: str, step, limit: int) -> DataFrame:
+    small_batches(df.sparkSession)
     if out in df.columns:
         raise ValueError(f"the input has a column {out} already")
 
@@ -251,7 +257,7 @@ def _mapped(df: DataFrame, column: str, out: str, kind: pa.DataType, sql: str, p
                     yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, kind)], names=[*part.schema.names, out])
                     made, size, first = [], 0, i + 1
 
-    return df.mapInArrow(work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", `{out}` {sql}")
+    return df.mapInArrow(tidy(work), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", `{out}` {sql}")
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", limit: int = 8 << 20) -> DataFrame:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrane.llm._bytes import tidy
 from terrane.llm._shared import stored
 
 
@@ -57,7 +58,7 @@ def _local(edges: DataFrame) -> DataFrame:
         for i in range(0, len(src), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(src[i : i + 50_000]), pa.array(dst[i : i + 50_000])], names=["src", "dst"])
 
-    return edges.select("src", "dst").mapInArrow(work, "src long, dst long")
+    return edges.select("src", "dst").mapInArrow(tidy(work), "src long, dst long")
 
 
 def components(edges: DataFrame) -> DataFrame:

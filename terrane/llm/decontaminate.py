@@ -16,8 +16,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm._bytes import ALNUM, LOWER, blob_table, blobs, ragged, runs, spans, word_hashes
-from terrane.llm._shared import stored
+from terrane.llm._bytes import ALNUM, LOWER, blob_table, blobs, ragged, runs, spans, tidy, word_hashes
+from terrane.llm._shared import small_batches, stored
 
 SEGMENT = 4 << 20
 #: Phrases that one pass over the index looks for; more are taken in further passes, each broadcast being so bounded.
@@ -59,7 +59,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
                     yield blob_table(_INDEX, {"segment": np.full(len(b) - 1, number), "term": terms[b[:-1]], "n": np.diff(b).astype(np.int32), "postings": blobs(place[b[0] : b[-1]], b - b[0])})
                 number += 1
 
-    return stored(docs.select(F.col(key), F.col(text)).mapInArrow(work, _INDEX_SQL), "postings")
+    return stored(docs.select(F.col(key), F.col(text)).mapInArrow(tidy(work), _INDEX_SQL), "postings")
 
 
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -180,13 +180,14 @@ def directory(index: DataFrame) -> DataFrame:
                 d = np.frombuffer(blob, _DIRECTORY)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(d), segment)), pa.array(np.arange(len(d), dtype=np.int32)), pa.array(d["id"], mask=d["known"] == 0), pa.array(d["words"].astype(np.int64))], names=["segment", "doc", "doc_id", "n_words"])
 
-    return index.where("term is null").select("segment", "postings").mapInArrow(work, "segment long, doc int, doc_id long, n_words long")
+    return index.where("term is null").select("segment", "postings").mapInArrow(tidy(work), "segment long, doc int, doc_id long, n_words long")
 
 
 def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", length: int = 13, slop: int = 0) -> DataFrame:
     """doc_id, n_words, n_hit (words inside any occurrence) and items (sorted ids, as strings) of every text.
 
     Texts without words have zeros and no items. Repeated ids give a row each. An item id that is null counts as 'null'."""
+    small_batches(docs.sparkSession)
     index = build_index(docs, key, text)
     found = None
     for block in phrases(items, item, item_text, length):

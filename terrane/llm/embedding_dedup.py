@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm._bytes import as_binary, word_hashes
-from terrane.llm._shared import partitions, stored
+from terrane.llm._bytes import as_binary, tidy, word_hashes
+from terrane.llm._shared import partitions, small_batches, stored
 from terrane.llm.components import components, labels
 
 THRESHOLD, RECALL = 0.9, 0.995
@@ -106,7 +106,7 @@ def _units(df: DataFrame, key: str, vector: str, length: int) -> DataFrame:
             blob = [out[i].tobytes() if ok[i] else None for i in range(n)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node, mask=~ok), pa.array(blob, pa.binary())], names=["id", "node", "unit"])
 
-    return df.select(F.col(key).cast("long"), F.col(vector)).mapInArrow(work, "id long, node long, unit binary")
+    return df.select(F.col(key).cast("long"), F.col(vector)).mapInArrow(tidy(work), "id long, node long, unit binary")
 
 
 _ROW_SQL = "grid_row int, chunk int, query int, node long, weight long, cells binary, unit binary"
@@ -146,7 +146,7 @@ def _routed(nodes: DataFrame, grid: Grid, chunks: np.ndarray) -> DataFrame:
                 pick = np.concatenate(who)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v).astype(np.int32)) for v in (grid_row, to, query)] + [pa.array(node[pick]), pa.array(weight[pick]), pa.array(lists, pa.binary()), b.column("unit").take(pa.array(pick))], names=["grid_row", "chunk", "query", "node", "weight", "cells", "unit"])
 
-    return nodes.select("node", "copies", "unit").mapInArrow(work, _ROW_SQL)
+    return nodes.select("node", "copies", "unit").mapInArrow(tidy(work), _ROW_SQL)
 
 
 def _met(routed: DataFrame, threshold: float) -> DataFrame:
@@ -172,7 +172,7 @@ def _met(routed: DataFrame, threshold: float) -> DataFrame:
                 for i in range(0, len(b), 2000):
                     yield from _compare(ready, b.slice(i, 2000), threshold)
 
-    return rows.mapInArrow(work, "node long, links long, root long")
+    return rows.mapInArrow(tidy(work), "node long, links long, root long")
 
 
 def _residents(table: pa.Table) -> tuple[np.ndarray, ...]:
@@ -221,6 +221,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     Vectors that are null, zero, of another length than most, or hold null or non-finite components link with nothing:
     their component is their own id. Equal unit vectors are one node, whose rows all link with each other. Rows that
     repeat an id are separate vectors. No row is dropped."""
+    small_batches(df.sparkSession)
     spark = df.sparkSession
     common = df.where(F.col(vector).isNotNull()).groupBy(F.size(vector).alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     length = common[0]["n"] if common else 0
@@ -241,7 +242,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
             row, n = np.unique(grid.cells(x) // grid.size, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(row.astype(np.int32)), pa.array(n)], names=["grid_row", "n"])
 
-    held = {r[0]: r[1] for r in nodes.select("unit").mapInArrow(rows_of, "grid_row int, n long").groupBy("grid_row").agg(F.sum("n")).collect()}
+    held = {r[0]: r[1] for r in nodes.select("unit").mapInArrow(tidy(rows_of), "grid_row int, n long").groupBy("grid_row").agg(F.sum("n")).collect()}
     chunks = np.array([max(1, -(-held.get(r, 0) // RESIDENTS)) for r in range(len(grid.books[0]))])
     met = stored(_met(_routed(nodes, grid, chunks), threshold), "met")
     roots = components(met.select(F.col("root").alias("src"), F.col("node").alias("dst")))

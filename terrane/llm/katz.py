@@ -21,8 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm._bytes import LOWER, SPACED, blob_table, blobs, mix, runs, spans, word_hashes
-from terrane.llm._shared import discard, partitions, stored
+from terrane.llm._bytes import LOWER, SPACED, blob_table, blobs, mix, runs, spans, tidy, word_hashes
+from terrane.llm._shared import discard, partitions, small_batches, stored
 
 K, LARGE = 5, 0.1
 #: Bytes and texts of a block, and passes over the blocks, each for a share of the histories: a pass's bigrams are on disk at once.
@@ -101,7 +101,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                     yield blob_table(_TOKENS, {"kind": [0], "block": [number], "p": [-1], "a": [directory.tobytes()], "b": [vocabulary.tobytes()], "c": [tokens.astype("<u4").tobytes()]})
                     number += 1
 
-    return stored(docs.mapInArrow(work, _TOKENS_SQL), "tokens")
+    return stored(docs.mapInArrow(tidy(work), _TOKENS_SQL), "tokens")
 
 
 def _unigrams(blocks: DataFrame) -> DataFrame:
@@ -133,7 +133,7 @@ def _unigrams(blocks: DataFrame) -> DataFrame:
             yield blob_table(_TOKENS, {"kind": [1], "block": [block], "p": [p], "a": [total[where[at : at + len(a)]].astype("<u4").tobytes()], "b": [None], "c": [None]})
             at += len(a)
 
-    return stored(blocks.select("block", "a", "b", "c").mapInArrow(ask, _TOKENS_SQL).repartitionById(n_parts, "p").mapInArrow(answer, _TOKENS_SQL), "unigrams")
+    return stored(blocks.select("block", "a", "b", "c").mapInArrow(tidy(ask), _TOKENS_SQL).repartitionById(n_parts, "p").mapInArrow(tidy(answer), _TOKENS_SQL), "unigrams")
 
 
 _FIELDS = [("h", "<u8"), ("ch", "<u4"), ("pairs", "<u4"), ("w", "<u4"), ("w2", "u1"), ("cw", "<u4"), ("ct", "<u4"), ("nr", "<u4"), ("refs", "<u2")]
@@ -275,7 +275,7 @@ def _bigrams(blocks: DataFrame, unigrams: DataFrame, model: Unigrams, texts: int
             used, head = np.unique(heads_all, return_inverse=True)
             yield _sums(UNSEEN, -1, stats[used], key_h[lead[used]], np.concatenate(rows).astype("<i8"), np.concatenate(cols).astype("<u4"), head.astype("<u4"))
 
-    return stored(rows.mapInArrow(send, _PAIRS_SQL).repartitionById(n_parts, "p").mapInArrow(meet, _SUMS_SQL), "bigrams")
+    return stored(rows.mapInArrow(tidy(send), _PAIRS_SQL).repartitionById(n_parts, "p").mapInArrow(tidy(meet), _SUMS_SQL), "bigrams")
 
 
 def _sums(kind: int, block: int, *values, hot: int | None = None) -> pa.RecordBatch:
@@ -299,6 +299,7 @@ def score(docs: DataFrame, train, key: str = "doc_id", text: str = "text") -> Da
 
     Words are what white space parts, A-Z in small letters; every text ends with one end token, so a null or empty text
     has that alone. Words that training lacks are one class. Without training texts every score follows from that class."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).alias("text"))
     blocks = _blocks(rows)
@@ -318,7 +319,7 @@ def score(docs: DataFrame, train, key: str = "doc_id", text: str = "text") -> Da
     counts = np.sum([np.frombuffer(r[0], "<i8") for r in sums.where(F.col("kind") == COUNTS).select("a").collect()] or [np.zeros(K + 1, np.int64)], axis=0)
     d = Discounts(counts)
     # frequent histories: at most four times the number of partitions
-    hot = sums.where(F.col("kind") == HOT).select("hot", "a").mapInArrow(_wide, "hot long, " + ", ".join(f"s{i} double" for i in range(K + 4)))
+    hot = sums.where(F.col("kind") == HOT).select("hot", "a").mapInArrow(tidy(_wide), "hot long, " + ", ".join(f"s{i} double" for i in range(K + 4)))
     hot = hot.groupBy("hot").agg(*(F.sum(f"s{i}") for i in range(K + 3)), F.max(f"s{K + 3}")).collect()
     hot_keys = np.array([r[0] for r in hot], np.int64).view(np.uint64)
     hot_alpha = log_alpha(np.array([r[1:] for r in hot], np.float64), d) if hot else np.zeros(0)
@@ -369,8 +370,8 @@ def score(docs: DataFrame, train, key: str = "doc_id", text: str = "text") -> Da
         if directory is not None:
             yield finish()
 
-    flat = sums.where(F.col("kind") <= UNSEEN).select("kind", "block", "a", "b", "c", "d", "e").mapInArrow(backed_off, _SUMS_SQL).select("kind", "block", "a", "b", "c")
-    done = flat.repartition(2 * partitions(spark), "block").sortWithinPartitions("block", "kind").mapInArrow(added, "id long, n_tokens long, n_known long, base double, score double")
+    flat = sums.where(F.col("kind") <= UNSEEN).select("kind", "block", "a", "b", "c", "d", "e").mapInArrow(tidy(backed_off), _SUMS_SQL).select("kind", "block", "a", "b", "c")
+    done = flat.repartition(2 * partitions(spark), "block").sortWithinPartitions("block", "kind").mapInArrow(tidy(added), "id long, n_tokens long, n_known long, base double, score double")
     return done.select("id", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
 
 

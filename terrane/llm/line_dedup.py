@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.llm import minhash
-from terrane.llm._bytes import SPACED, as_binary, blob_table, blobs, ragged, runs, word_hashes
-from terrane.llm._shared import stored
+from terrane.llm._bytes import SPACED, as_binary, blob_table, blobs, ragged, runs, tidy, word_hashes
+from terrane.llm._shared import small_batches, stored
 
 SHINGLE, THRESHOLD, ROWS = 8, 0.8, 5
 BANDS = minhash.bands_for(THRESHOLD, 0.995, ROWS)
@@ -91,7 +91,7 @@ def signatures(keyed: DataFrame) -> DataFrame:
                 keys = minhash.band_keys(s, bounds, BANDS, ROWS)
                 yield blob_table(_LINE, {"node": node, "key": ids[first + text], "line": number.astype(np.int32), "bands": blobs(keys.ravel(), np.arange(len(keys) + 1) * BANDS)})
 
-    return keyed.mapInArrow(work, "node long, key long, line int, bands binary")
+    return keyed.mapInArrow(tidy(work), "node long, key long, line int, bands binary")
 
 
 _SPAN = pa.schema([("cluster", pa.int64()), ("node", pa.int64()), ("weight", pa.int64()), ("body", pa.binary())])
@@ -114,12 +114,13 @@ def _bodies(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
                 rows = [(w["cluster"], w["node"], data[start[k] : stop[k]].tobytes()) for w in want[i] if (k := at.get(w["line"])) is not None and node[k] == w["node"]]
                 yield pa.RecordBatch.from_pydict({"cluster": [r[0] for r in rows], "node": [r[1] for r in rows], "weight": [1] * len(rows), "body": [r[2] for r in rows]}, _SPAN)
 
-    return keyed.join(per_text, "key").select("text", "want").mapInArrow(work, "cluster long, node long, weight long, body binary")
+    return keyed.join(per_text, "key").select("text", "want").mapInArrow(tidy(work), "cluster long, node long, weight long, body binary")
 
 
 def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(lines, classes). lines: node, key, line of the first line of every distinct text of a line, and kept. classes:
     node and root node of the lines that are similar to others."""
+    small_batches(docs.sparkSession)
     keyed = _keyed(docs, key, text)
     rows = signatures(keyed)
     lines = stored(rows.groupBy("node").agg(F.min(F.struct("key", "line")).alias("at"), F.max("bands").alias("bands")).select("node", "at.key", "at.line", "bands"), "lines")
@@ -179,4 +180,4 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str = "
                     texts, gone, first, size = [], [], i + 1, 0
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.select(*docs.columns, "_keep").mapInArrow(work, f"{columns}, `{out}` string, removed_lines array<int>")
+    return joined.select(*docs.columns, "_keep").mapInArrow(tidy(work), f"{columns}, `{out}` string, removed_lines array<int>")

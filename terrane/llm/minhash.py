@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm._bytes import as_binary, blob_table, blobs, mix
+from terrane.llm._bytes import as_binary, blob_table, blobs, mix, tidy
 from terrane.llm._shared import partitions, stored
 from terrane.llm.components import components, labels, reduced
 
@@ -112,7 +112,7 @@ def candidates(items: DataFrame) -> DataFrame:
             for i in range(0, len(src), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(src[i : i + 50_000]), pa.array(dst[i : i + 50_000])], names=["src", "dst"])
 
-    links = items.select("node", "bands").mapInArrow(packed, _PACKED_SQL).repartitionById(n_parts, "p").mapInArrow(joined, "src long, dst long")
+    links = items.select("node", "bands").mapInArrow(tidy(packed), _PACKED_SQL).repartitionById(n_parts, "p").mapInArrow(tidy(joined), "src long, dst long")
     return components(links).select("node", F.col("root").alias("cluster"))
 
 
@@ -228,7 +228,7 @@ def verify(bodies: DataFrame, shingler: Shingler, threshold: float) -> DataFrame
         root = node[labels(len(node), i, j)]
         yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(links.astype(np.int64)), pa.array(root)], names=["node", "links", "root"])
 
-    done = cut.mapInArrow(work, "node long, links long, root long")
+    done = cut.mapInArrow(tidy(work), "node long, links long, root long")
     if not large:
         return done
     done = stored(done, "verified")

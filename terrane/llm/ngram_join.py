@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.llm import minhash
-from terrane.llm._bytes import SPACED, blob_table, blobs, mix, ragged, runs, spans, window_hashes, word_hashes
-from terrane.llm._shared import stored
+from terrane.llm._bytes import SPACED, blob_table, blobs, mix, ragged, runs, spans, tidy, window_hashes, word_hashes
+from terrane.llm._shared import small_batches, stored
 
 NGRAM, THRESHOLD, ROWS = 5, 0.8, 6
 #: Bands that let a pair at the threshold meet with probability 0.998.
@@ -70,7 +70,7 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
                 packed = pa.array([v if c else None for v, c in zip(packed.to_pylist(), count.tolist(), strict=True)], pa.binary())
                 yield blob_table(_SIG, {"id": batch.column(0).slice(first, len(count)), "node": whole.view(np.int64), "n_words": count.astype(np.int64), "bands": packed})
 
-    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(work, "id long, node long, n_words long, bands binary")
+    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(tidy(work), "id long, node long, n_words long, bands binary")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -79,6 +79,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
 
     Words are what white space parts, unchanged. Equal word sequences are one node. Texts without words, null ones too,
     link with nothing and have no node row. A node whose ids are all null has its texts fetched by its hash."""
+    small_batches(docs.sparkSession)
     sig = stored(signatures(docs, key, text), "signatures")
     worded = sig.where("bands is not null")
     nodes = stored(worded.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first"), F.max("bands").alias("bands")), "nodes")
@@ -103,7 +104,7 @@ def _hashed(texts: DataFrame) -> DataFrame:
                 whole = _sets(data, offsets, NGRAM)[3]
                 yield pa.RecordBatch.from_arrays([pa.array(whole.view(np.int64)), b.column("body").slice(first, len(whole))], names=["node", "body"])
 
-    return texts.select("body").mapInArrow(work, "node long, body string")
+    return texts.select("body").mapInArrow(tidy(work), "node long, body string")
 
 
 def _own(bodies: DataFrame) -> DataFrame:
@@ -116,4 +117,4 @@ def _own(bodies: DataFrame) -> DataFrame:
                 part = b.slice(first, len(whole))
                 yield part.filter(pa.array(whole == np.asarray(part.column("node"))))
 
-    return bodies.select("cluster", "node", "weight", "body").mapInArrow(work, "cluster long, node long, weight long, body string")
+    return bodies.select("cluster", "node", "weight", "body").mapInArrow(tidy(work), "cluster long, node long, weight long, body string")

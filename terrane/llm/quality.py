@@ -15,7 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm._bytes import as_binary, runs
+from terrane.llm._bytes import as_binary, runs, tidy
+from terrane.llm._shared import small_batches
 
 CHUNK, FILTERS, WIDTH = 256, 8, 6
 #: The fit reads at most so many labelled texts, and of each at most so many pieces of so many bytes, spread over all of it.
@@ -151,6 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Fit on a bounded sample: the `rows` labelled keys that come first by hash (a key with several labels takes the
     largest), and of each text SAMPLE_PIECES pieces of PIECE_BYTES bytes spread evenly over the whole of it. Null labels
     and keys are left out. Without any row, or with one label only, the network gives the (smoothed) share of label 1."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     held = labels.select(F.col(key).alias("k"), F.col(label).alias("y")).where("k is not null and y is not null").groupBy("k").agg(F.max("y").alias("y"))
     chosen = spark.createDataFrame(held.orderBy(F.xxhash64("k"), "k").limit(rows).toArrow())
@@ -167,13 +169,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             yield pa.RecordBatch.from_arrays([b.column("k"), b.column("y"), pa.array(cut, pa.binary())], names=["k", "y", "t"])
 
     kind = chosen.schema["k"].dataType.simpleString(), chosen.schema["y"].dataType.simpleString()
-    got = sample.mapInArrow(pieces, f"k {kind[0]}, y {kind[1]}, t binary").toArrow()
+    got = sample.mapInArrow(tidy(pieces), f"k {kind[0]}, y {kind[1]}, t binary").toArrow()
     got = got.take(pc.sort_indices(got, [("k", "ascending"), ("t", "ascending")])) if len(got) else got
     return train(got.column("t").to_pylist(), np.array(got.column("y").to_pylist(), np.float64))
 
 
 def score(df: DataFrame, net: Network, text: str = "text", out: str = "score") -> DataFrame:
     """Adds the probability of label 1 to every row; null and empty texts are scored as empty. All bytes of a text count."""
+    small_batches(df.sparkSession)
     if out in df.columns:
         raise ValueError(f"the input has a column {out} already")
 
@@ -185,4 +188,4 @@ def score(df: DataFrame, net: Network, text: str = "text", out: str = "score") -
                 scores[first : first + len(offsets) - 1] = net.score(data, offsets)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, out])
 
-    return df.mapInArrow(work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", `{out}` double")
+    return df.mapInArrow(tidy(work), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", `{out}` double")

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm._bytes import SPACED, as_binary, blob_table, blobs, mix, ragged, runs, spans, window_hashes, word_hashes
-from terrane.llm._shared import partitions, stored
+from terrane.llm._bytes import SPACED, as_binary, blob_table, blobs, mix, ragged, runs, spans, tidy, window_hashes, word_hashes
+from terrane.llm._shared import partitions, small_batches, stored
 
 WINDOW, GRAM = 50, 8
 #: Suffixes of a group that one task makes into a tree, and occurrences of an anchor in one map task from which it counts as large.
@@ -169,7 +169,7 @@ def occurrences(keyed: DataFrame) -> DataFrame:
                 x = out[i : i + 50_000]
                 yield blob_table(_FOUND, {"kind": x["kind"].astype(np.int32), "anchor": x["anchor"].view(np.int64) if x["anchor"].flags.c_contiguous else np.ascontiguousarray(x["anchor"]).view(np.int64), "ctx": np.ascontiguousarray(x["ctx"]).view(np.int64), "key": np.ascontiguousarray(x["key"]), "node": np.ascontiguousarray(x["node"]), "pos": np.ascontiguousarray(x["pos"]), "off": x["off"].astype(np.int32), "n": x["n"].astype(np.int32)})
 
-    return keyed.mapInArrow(mapped, "p int, recs binary").repartitionById(n_parts, "p").mapInArrow(reduce, _FOUND_SQL)
+    return keyed.mapInArrow(tidy(mapped), "p int, recs binary").repartitionById(n_parts, "p").mapInArrow(tidy(reduce), _FOUND_SQL)
 
 
 _SPAN_SQL = "kind int, anchor long, key long, node long, pos int, off int, n int, body binary, h1 long, h2 long"
@@ -207,7 +207,7 @@ def _fetched(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
                     zero = np.zeros(m, np.int32)
                     yield blob_table(_SPAN, {"kind": zero + HASHED, "anchor": zero.astype(np.int64), "key": np.full(m, keys[i]), "node": np.full(m, node.view(np.int64)[0]), "pos": firsts.astype(np.int32), "off": zero, "n": zero + 1, "body": pa.nulls(m, pa.binary()), "h1": w1[firsts].view(np.int64), "h2": second[firsts].view(np.int64)})
 
-    return keyed.join(per_text, "key").mapInArrow(work, _SPAN_SQL)
+    return keyed.join(per_text, "key").mapInArrow(tidy(work), _SPAN_SQL)
 
 
 def _sorted_suffixes(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -310,12 +310,13 @@ def _trees(spans_df: DataFrame) -> DataFrame:
         if kept and size:
             yield from grow(pa.Table.from_batches(kept))
 
-    return rows.mapInArrow(work, _CUT_SQL)
+    return rows.mapInArrow(tidy(work), _CUT_SQL)
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, node, first, words: spans of words that start in a document with a smaller id too. node tells rows that
     repeat an id apart; a null id counts as larger than all others."""
+    small_batches(docs.sparkSession)
     keyed = _keyed(docs, key, text)
     found = stored(occurrences(keyed), "anchors")
     covered = found.where(F.col("kind") == COVERED).select("key", "node", F.col("pos").alias("first"), (F.col("n") + WINDOW - 1).alias("words"))
@@ -374,4 +375,4 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str = "
                     texts, total, gone, first, size = [], [], [], i + 1, 0
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.mapInArrow(work, f"{columns}, n_words long, n_removed long, `{out}` string")
+    return joined.mapInArrow(tidy(work), f"{columns}, n_words long, n_removed long, `{out}` string")

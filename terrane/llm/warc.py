@@ -19,8 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm._bytes import as_binary
-from terrane.llm._shared import partitions, shared_dir
+from terrane.llm._bytes import as_binary, tidy
+from terrane.llm._shared import partitions, shared_dir, small_batches
 
 PIECE = 1 << 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -111,6 +111,7 @@ def link_revisits(pages: DataFrame, page_id: str = "page_id", html: str = "html"
     """page_id, url, payload (null: empty) and refers_to: of rows with equal payloads of at least `least` bytes, that
     with the largest page_id carries it, and the others refer to it. Rows that repeat that largest id carry it too; a null
     id is below every number. The groups are pre-aggregated; only those of several rows are joined."""
+    small_batches(pages.sparkSession)
     rows = pages.select(F.col(page_id).alias("page_id"), F.col("url").alias("url"), F.coalesce(F.col(html), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.unhex(F.sha1("payload")))
     groups = rows.where(F.length("payload") >= least).groupBy("digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1 and last is not null").drop("n")
@@ -138,7 +139,7 @@ def write(linked: DataFrame, directory: str) -> DataFrame:
         yield pa.RecordBatch.from_pydict({"path": [name], "n_records": [n]}, pa.schema([("path", pa.string()), ("n_records", pa.int64())]))
 
     manifest = shared_dir(linked.sparkSession, "warc-manifest")
-    linked.mapInArrow(work, "path string, n_records long").write.parquet(manifest)
+    linked.mapInArrow(tidy(work), "path string, n_records long").write.parquet(manifest)
     return linked.sparkSession.read.schema("path string, n_records long").parquet(manifest)
 
 
@@ -163,4 +164,4 @@ def read(archives: DataFrame, payloads: bool = True, batch_bytes: int = 4 << 20)
             yield pa.RecordBatch.from_pylist(held, schema)
 
     names = {"int64": "long", "string": "string", "binary": "binary"}
-    return archives.select("path").repartition(4 * partitions(archives.sparkSession)).mapInArrow(work, ", ".join(f"{f.name} {names[str(f.type)]}" for f in schema))
+    return archives.select("path").repartition(4 * partitions(archives.sparkSession)).mapInArrow(tidy(work), ", ".join(f"{f.name} {names[str(f.type)]}" for f in schema))
