@@ -35,7 +35,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class TreeBPE:
     """Encoder and decoder of one rank file."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, kept: int = 100_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, kept: int = 200_000):
         self.ranks, self.kept = ranks, kept
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.find = regex.compile(pattern).findall
@@ -135,7 +135,7 @@ class TreeBPE:
                         break
                 else:
                     j += 1
-            if len(self._pairs) > self.kept // 2:
+            if len(self._pairs) > self.kept // 4:
                 self._pairs.clear()
             self._pairs[a, b] = known
         return known
@@ -166,7 +166,7 @@ class TreeBPE:
         half = len(piece) // 2
         out = self.join(self._tree(piece[:half]), self._tree(piece[half:]))
         if short:
-            if len(self._subtrees) > self.kept // 4:
+            if len(self._subtrees) > self.kept // 8:
                 self._subtrees.clear()
             self._subtrees[piece] = out
         return out
