@@ -13,6 +13,8 @@ ratio up to r = 5 (where the counts of counts give no ratio between 0 and 1, (r
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -65,6 +67,23 @@ def _ranges(keys: np.ndarray, n_parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32)).astype(np.int64)
 
 
+def _packed(tokens: np.ndarray) -> bytes:
+    """Numbers below 2**24 as three runs of bytes, low ones first: the high bytes compress well."""
+    return np.ascontiguousarray(tokens.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T).tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    low, middle, high = np.frombuffer(raw, np.uint8).reshape(3, -1).astype(np.int64)
+    return low | middle << 8 | high << 16
+
+
+def _release(spark) -> None:
+    """Lets Spark delete the shuffle files of plans that nothing holds any longer."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(1)
+
+
 _TOKENS_SQL = "kind int, block long, p int, a binary, b binary, c binary"
 _TOKENS = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("p", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
 
@@ -98,7 +117,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                     directory = np.zeros(n, _DOC)
                     directory["id"], directory["known"] = values[first : first + n], known[first : first + n]
                     directory["train"], directory["n"] = train[first : first + n], counts + 1
-                    yield blob_table(_TOKENS, {"kind": [0], "block": [number], "p": [-1], "a": [directory.tobytes()], "b": [vocabulary.tobytes()], "c": [tokens.astype("<u4").tobytes()]})
+                    yield blob_table(_TOKENS, {"kind": [0], "block": [number], "p": [-1], "a": [directory.tobytes()], "b": [vocabulary.tobytes()], "c": [_packed(tokens)]})
                     number += 1
 
     return stored(docs.mapInArrow(tidy(work), _TOKENS_SQL), "tokens")
@@ -111,7 +130,7 @@ def _unigrams(blocks: DataFrame) -> DataFrame:
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for block, a, v, c in zip(*(b.column(x).to_pylist() for x in ("block", "a", "b", "c")), strict=True):
-                directory, vocabulary, tokens = np.frombuffer(a, _DOC), np.frombuffer(v, np.uint64), np.frombuffer(c, "<u4")
+                directory, vocabulary, tokens = np.frombuffer(a, _DOC), np.frombuffer(v, np.uint64), _unpacked(c)
                 train = np.repeat(directory["train"] > 0, directory["n"])
                 counts = np.bincount(tokens[train], minlength=len(vocabulary)).astype("<u4")
                 bounds = np.searchsorted(_ranges(vocabulary, n_parts), np.arange(n_parts + 1))
@@ -144,30 +163,47 @@ _SUMS_SQL = "kind int, block long, a binary, b binary, c binary, d binary, e bin
 DOCS, LINEAR, UNSEEN, COUNTS, HOT = range(5)
 
 
-def _bigrams(blocks: DataFrame, unigrams: DataFrame, model: Unigrams, texts: int, turn: int) -> DataFrame:
-    """Sums of one share of the histories: see the kinds. Kept in the shared folder."""
+def _counted(blocks: DataFrame, unigrams: DataFrame) -> DataFrame:
+    """The blocks with the counts of their words (d): each block meets its answers once."""
     n_parts = partitions(blocks.sparkSession)
-    often = max(1000, model.tokens // (4 * n_parts))
     rows = blocks.unionByName(unigrams.where("kind = 1")).repartition(2 * n_parts, "block").sortWithinPartitions("block", "kind", "p")
 
-    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts, counts = None, None, []
         for b in batches:
             for i in range(len(b)):
                 kind, block = b.column("kind")[i].as_py(), b.column("block")[i].as_py()
                 if block != now:
                     if parts:
-                        yield pairs(now, parts, np.concatenate(counts))
+                        yield row(now, parts, counts)
                     now, parts, counts = block, None, []
                 if kind == 0:
                     parts = [b.column(x)[i].as_py() for x in "abc"]
                 else:
-                    counts.append(np.frombuffer(b.column("a")[i].as_py(), "<u4"))
+                    counts.append(b.column("a")[i].as_py())
         if parts:
-            yield pairs(now, parts, np.concatenate(counts))
+            yield row(now, parts, counts)
+
+    def row(block: int, parts: list[bytes], counts: list[bytes]) -> pa.RecordBatch:
+        values = [[block], *([x] for x in parts), [b"".join(counts)]]
+        return pa.RecordBatch.from_arrays([pa.array(values[0]), *(pa.array(v, pa.binary()) for v in values[1:])], names=["block", "a", "b", "c", "d"])
+
+    return stored(rows.mapInArrow(tidy(work), "block long, a binary, b binary, c binary, d binary"), "counted")
+
+
+def _bigrams(counted: DataFrame, model: Unigrams, texts: int, turn: int) -> DataFrame:
+    """Sums of one share of the histories: see the kinds. Kept in the shared folder."""
+    n_parts = partitions(counted.sparkSession)
+    often = max(1000, model.tokens // (4 * n_parts))
+
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(len(b)):
+                block, *parts, counts = (b.column(x)[i].as_py() for x in ("block", "a", "b", "c", "d"))
+                yield pairs(block, parts, np.frombuffer(counts, "<u4"))
 
     def pairs(block: int, parts: list[bytes], count: np.ndarray) -> pa.RecordBatch:
-        directory, vocabulary, tokens = np.frombuffer(parts[0], _DOC), np.frombuffer(parts[1], np.uint64), np.frombuffer(parts[2], "<u4").astype(np.int64)
+        directory, vocabulary, tokens = np.frombuffer(parts[0], _DOC), np.frombuffer(parts[1], np.uint64), _unpacked(parts[2])
         doc = np.repeat(np.arange(len(directory)), directory["n"])
         first = np.cumsum(directory["n"].astype(np.int64)) - directory["n"]
         size = len(vocabulary)
@@ -275,7 +311,7 @@ def _bigrams(blocks: DataFrame, unigrams: DataFrame, model: Unigrams, texts: int
             used, head = np.unique(heads_all, return_inverse=True)
             yield _sums(UNSEEN, -1, stats[used], key_h[lead[used]], np.concatenate(rows).astype("<i8"), np.concatenate(cols).astype("<u4"), head.astype("<u4"))
 
-    return stored(rows.mapInArrow(tidy(send), _PAIRS_SQL).repartitionById(n_parts, "p").mapInArrow(tidy(meet), _SUMS_SQL), "bigrams")
+    return stored(counted.mapInArrow(tidy(send), _PAIRS_SQL).repartitionById(n_parts, "p").mapInArrow(tidy(meet), _SUMS_SQL), "bigrams")
 
 
 def _sums(kind: int, block: int, *values, hot: int | None = None) -> pa.RecordBatch:
@@ -308,11 +344,14 @@ def score(docs: DataFrame, train, key: str = "doc_id", text: str = "text") -> Da
     tokens, words = int(stats[0]), int(stats[1])
     model = Unigrams(tokens, words, stats[2:])
     texts = rows.where("train").count()
+    counted = _counted(blocks, unigrams)
+    discard(blocks)
+    _release(spark)
     turns = []
     for turn in range(PASSES):
-        turns.append(_bigrams(blocks, unigrams, model, texts, turn))
-        spark.sparkContext._jvm.System.gc()  # lets Spark delete the pass's shuffle files
-    discard(blocks)
+        turns.append(_bigrams(counted, model, texts, turn))
+        _release(spark)
+    discard(counted)
     sums = turns[0]
     for more in turns[1:]:
         sums = sums.unionByName(more)
