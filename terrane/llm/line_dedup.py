@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.llm import minhash
-from terrane.llm._bytes import SPACED, as_binary, blob_table, blobs, ragged, runs, tidy, word_hashes
+from terrane.llm._bytes import SPACED, blob_table, blobs, mix, ragged, runs, tidy, word_hashes
 from terrane.llm._shared import small_batches, stored
 
 SHINGLE, THRESHOLD, ROWS = 8, 0.8, 5
@@ -103,16 +103,23 @@ def _bodies(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            want = b.column("want").to_pylist()
-            for i, body in enumerate(as_binary(b.column("text"))):
-                if not want[i]:
-                    continue
-                data = np.frombuffer(body.as_py(), np.uint8)
-                start, stop, _, number = lines_of(data, np.array([0, len(data)]))
-                node = word_hashes(data, start, stop).view(np.int64)
-                at = {int(n): k for k, n in enumerate(number)}
-                rows = [(w["cluster"], w["node"], data[start[k] : stop[k]].tobytes()) for w in want[i] if (k := at.get(w["line"])) is not None and node[k] == w["node"]]
-                yield pa.RecordBatch.from_pydict({"cluster": [r[0] for r in rows], "node": [r[1] for r in rows], "weight": [1] * len(rows), "body": [r[2] for r in rows]}, _SPAN)
+            want = b.column("want")
+            where = want.offsets.to_numpy()
+            wanted_line, wanted_node, wanted_cluster = (np.asarray(want.values.field(x)) for x in ("line", "node", "cluster"))
+            for first, offsets, data in runs(b.column("text")):
+                start, stop, text, number = lines_of(data, offsets)
+                lo, hi = where[first], where[first + len(offsets) - 1]
+                owner = np.repeat(np.arange(len(offsets) - 1), np.diff(where[first : first + len(offsets)]))
+                have, sought = text << 32 | number, owner << 32 | wanted_line[lo:hi].astype(np.int64)
+                at = np.searchsorted(have, sought)
+                there = np.flatnonzero(np.append(have, -1)[at] == sought)
+                at = at[there]
+                # rows that repeat an id may hold other lines at these numbers
+                same = word_hashes(data, start[at], stop[at]).view(np.int64) == wanted_node[lo:hi][there]
+                at, there = at[same], there[same]
+                size = stop[at] - start[at]
+                body = blobs(data[ragged(start[at], size)], np.concatenate(([0], np.cumsum(size))))
+                yield blob_table(_SPAN, {"cluster": wanted_cluster[lo:hi][there], "node": wanted_node[lo:hi][there], "weight": np.ones(len(at), np.int64), "body": body})
 
     return keyed.join(per_text, "key").select("text", "want").mapInArrow(tidy(work), "cluster long, node long, weight long, body binary")
 
@@ -126,7 +133,7 @@ def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thresho
     lines = stored(rows.groupBy("node").agg(F.min(F.struct("key", "line")).alias("at"), F.max("bands").alias("bands")).select("node", "at.key", "at.line", "bands"), "lines")
     clusters = stored(minhash.candidates(lines), "clusters")
     wanted = lines.select("node", "key", "line").join(clusters, "node")
-    verified = stored(minhash.verify(_bodies(keyed, wanted), shingler, threshold).select("node", "root"), "verified")
+    verified = stored(minhash.verify(_bodies(keyed, wanted), clusters, shingler, threshold).select("node", "root"), "verified")
     # a component keeps its first line, which need not be the node with the smallest hash
     placed = verified.join(lines.select("node", "key", "line"), "node")
     first = placed.groupBy("root").agg(F.min(F.struct("key", "line", "node")).alias("f"))
@@ -134,6 +141,27 @@ def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thresho
     return lines.select("node", "key", "line").join(lost.withColumn("lost", F.lit(True)), "node", "left").select("node", "key", "line", F.col("lost").isNull().alias("kept")), verified
 
 
+def _without(data: np.ndarray, offsets: np.ndarray, owner: np.ndarray, line: np.ndarray, node: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The texts without the lines that aren't among the kept ones (owner: number of the text), the numbers of the lines
+    that went, and where each text's begin in them. A removed line takes its newline along, the last one the newline
+    before it; a text that keeps none of its lines becomes empty."""
+    start, stop, text, number = lines_of(data, offsets)
+    place = lambda of, at, what: mix((of << 32 | at).astype(np.uint64)) ^ what.view(np.uint64)
+    gone = ~np.isin(place(text, number, word_hashes(data, start, stop).view(np.int64)), place(owner, line.astype(np.int64), node))
+    n = len(offsets) - 1
+    lost = np.bincount(text[gone], minlength=n)
+    emptied = (lost > 0) & (lost == np.bincount(text, minlength=n))
+    end = offsets[text + 1]
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[start[gone]] += 1
+    edge[np.minimum(stop + 1, end)[gone]] -= 1
+    stays = (np.cumsum(edge[:-1], dtype=np.int8) == 0) & ~np.repeat(emptied, np.diff(offsets))
+    tail = text[gone & (stop == end) & ~emptied[text]]
+    breaks = np.flatnonzero((data == 10) & stays)
+    stays[breaks[np.searchsorted(breaks, offsets[tail + 1]) - 1]] = False
+    return blobs(data[stays], np.concatenate(([0], np.cumsum(stays)))[offsets]), number[gone], np.concatenate(([0], np.cumsum(lost)))
+
+
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str = "kept_text", threshold: float = THRESHOLD) -> DataFrame:
     """Every row with two columns more: `out`, the text without the lines that repeat another's, and removed_lines, their
     numbers from 0.
@@ -154,30 +182,16 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str = "
         for b in batches:
             keep = b.column("_keep")
             where = keep.offsets.to_numpy()
-            line, node, there = np.asarray(keep.values.field("line")), np.asarray(keep.values.field("node")), np.asarray(keep.is_valid())
-            texts, gone, first, size = [], [], 0, 0
+            line, node = np.asarray(keep.values.field("line")), np.asarray(keep.values.field("node"))
             rest = b.drop_columns(["_keep"])
-            bodies = as_binary(b.column(b.schema.get_field_index(text)))
-            for i, body in enumerate(bodies):
-                body = body.as_py()
-                data = np.frombuffer(body, np.uint8)
-                start, stop, _, number = lines_of(data, np.array([0, len(data)]))
-                hashes = word_hashes(data, start, stop).view(np.int64)
-                span = slice(where[i], where[i + 1]) if there[i] else slice(0, 0)
-                mine = set(zip(line[span].tolist(), node[span].tolist(), strict=True))
-                removed = {n for n, h in zip(number.tolist(), hashes.tolist(), strict=True) if (n, h) not in mine}
-                if not removed:
-                    texts.append(body)
-                elif len(removed) == len(number):
-                    texts.append(b"")
-                else:
-                    texts.append(b"\n".join([x for n, x in enumerate(body.split(b"\n")) if n not in removed]))
-                gone.append(sorted(removed))
-                size += len(body)
-                if size > 8 << 20 or i + 1 == len(bodies):
-                    part = rest.slice(first, i + 1 - first)
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary()).cast(pa.string()), pa.array(gone, pa.list_(pa.int32()))], names=[*part.schema.names, out, "removed_lines"])
-                    texts, gone, first, size = [], [], i + 1, 0
+            for first, offsets, data in runs(b.column(b.schema.get_field_index(text))):
+                n = len(offsets) - 1
+                mine = slice(where[first], where[first + n])
+                owner = np.repeat(np.arange(n), np.diff(where[first : first + n + 1]))
+                kept, numbers, bounds = _without(data, offsets, owner, line[mine], node[mine])
+                part = rest.slice(first, n)
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(numbers, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, kept.cast(pa.binary()).cast(pa.string()), lists], names=[*part.schema.names, out, "removed_lines"])
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return joined.select(*docs.columns, "_keep").mapInArrow(tidy(work), f"{columns}, `{out}` string, removed_lines array<int>")

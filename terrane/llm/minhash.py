@@ -176,12 +176,13 @@ def _dense(item: np.ndarray, begin: np.ndarray, count: np.ndarray, group: np.nda
     return np.concatenate([p for p, _ in out]), np.concatenate([h for _, h in out])
 
 
-def verify(bodies: DataFrame, shingler: Shingler, threshold: float) -> DataFrame:
+def verify(bodies: DataFrame, clusters: DataFrame, shingler: Shingler, threshold: float) -> DataFrame:
     """node, links (summed weights of the items it is similar to) and root (smallest node reachable by verified links).
 
-    bodies: cluster long, node long, weight long, body string or binary; a node that comes twice counts once."""
+    bodies: cluster long, node long, weight long, body string or binary; a node that comes twice counts once. clusters: node
+    and cluster of all of them, read to find the large ones, so that bodies are made once."""
     spark = bodies.sparkSession
-    sizes = stored(bodies.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK), "large")
+    sizes = stored(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK), "large")
     large = sizes.take(1)
     if large:
         blocks = F.ceil(F.col("n") / BLOCK).cast("int")

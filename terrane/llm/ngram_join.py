@@ -91,7 +91,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     if nameless.take(1):
         hashed = _hashed(texts.where("first is null"))
         bodies = bodies.unionByName(nameless.join(hashed.dropDuplicates(["node"]), "node").select("first", "cluster", "node", "weight", "body"))
-    verified = stored(minhash.verify(_own(bodies).select("cluster", "node", "weight", "body"), shingler, threshold), "verified")
+    verified = stored(minhash.verify(_own(bodies).select("cluster", "node", "weight", "body"), clusters, shingler, threshold), "verified")
     classed = nodes.select("node", "copies", "first").join(verified, "node", "left").select("node", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"), "first")
     least = classed.groupBy("root").agg(F.min("first").alias("class"))
     return sig.select("id", "node", "n_words"), classed.join(least, "root").select("node", "copies", "links", "class")
