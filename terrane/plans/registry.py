@@ -7,9 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrane.plans import measures, sets_and_codes, time_and_rules
+from terrane.plans import measures, series, sets_and_codes, time_and_rules
 
-MODULES = (time_and_rules, measures, sets_and_codes)
+MODULES = (time_and_rules, measures, sets_and_codes, series)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
