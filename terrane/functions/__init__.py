@@ -67,3 +67,40 @@ def zigzag(c: Column) -> Column:
 def share(part: Column, total: Column) -> Column:
     """Null where the total is null or zero."""
     return F.when(total != 0, part / total)
+
+
+def role(roles: Column, code: str) -> Column:
+    """`c1 c2=name;*=other`: the name of the first part whose codes hold the code or are *; null if none does."""
+    parts = F.filter(F.split(F.coalesce(roles, F.lit("")), ";"), lambda p: F.contains(p, F.lit("=")))
+    codes = lambda p: F.trim(F.split_part(p, F.lit("="), F.lit(1)))
+    fits = F.filter(parts, lambda p: (codes(p) == "*") | F.array_contains(F.split(codes(p), r"\s+"), code))
+    return F.trim(F.regexp_extract(F.get(fits, F.lit(0)), "(?s)^[^=]*=(.*)$", 1))
+
+
+def holds(test: str, text: str, detail: Column) -> Column:
+    """contains, startswith or lacks; false for a null or empty detail."""
+    found = {"contains": F.contains(detail, F.lit(text)), "startswith": F.startswith(detail, F.lit(text)), "lacks": ~F.contains(detail, F.lit(text))}[test]
+    return F.coalesce((detail != "") & found, F.lit(False))
+
+
+def compact(name: str, c: Column, whole: frozenset[str] = frozenset()) -> Column:
+    """Rounded as documents want it: the columns named as whole to integers (half to even), shares to 7 places, others to 3;
+    NaN is null."""
+    c = F.nanvl(c, F.lit(None).cast("double"))
+    return F.bround(c, 0).cast("long") if name in whole else F.bround(c, 7 if "share" in name else 3)
+
+
+def lighten(colour: Column, t: float) -> Column:
+    """A #rrggbb colour, t of the way to white."""
+    part = lambda i: F.conv(F.substring(colour, i, 2), 16, 10).cast("double")
+    return F.lower(F.concat(F.lit("#"), *[F.lpad(F.hex(F.bround(part(i) + (255 - part(i)) * t, 0).cast("long")), 2, "0") for i in (2, 4, 6)]))
+
+
+def mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """Web Mercator in fractions of the map, from its north-west corner."""
+    phi = F.radians(lat)
+    return (lon + 180) / 360, (1 - F.log(F.tan(phi) + 1 / F.cos(phi)) / F.lit(3.141592653589793)) / 2
+
+
+def unmercator(x: Column, y: Column) -> tuple[Column, Column]:
+    return x * 360 - 180, F.degrees(F.atan(F.sinh(F.lit(3.141592653589793) * (1 - 2 * y))))

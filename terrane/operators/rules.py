@@ -71,3 +71,15 @@ def unmatched(rules: DataFrame, hits: DataFrame, rule: str, dates: str) -> DataF
     """Rules with the dates (a |-list) on which they hit nothing."""
     every = rules.withColumn("day", F.explode(F.split(dates, r"\|")))
     return every.join(hits, [rule, "day"], "left_anti").select(rule, "day")
+
+
+def last_of_either(left: DataFrame, events: DataFrame, pairs: list[tuple[str, str]], number: str, value: str, out: str) -> DataFrame:
+    """The value of the last event (largest number, which is unique) that agrees with a row in any of the pairs of columns
+    (left, event). Events are reduced to one a key before each join, so no row is multiplied; null agrees with nothing."""
+    found = []
+    for i, (mine, other) in enumerate(pairs):
+        last = events.where(F.col(other).isNotNull()).groupBy(F.col(other).alias(f"_k{i}")).agg(F.max(F.struct(F.col(number).alias("n"), F.col(value).alias("v"))).alias(f"_e{i}"))
+        left = left.join(last, F.col(mine) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
+        found.append(f"_e{i}")
+    best = F.greatest(*found) if len(found) > 1 else F.col(found[0])
+    return left.withColumn(out, best["v"]).drop(*found)

@@ -51,3 +51,21 @@ def bracket_fill(df: DataFrame, key: list[str], at: str, value: str, out: str, l
     p, n = F.last(known, True).over(back), F.first(known, True).over(on)
     line = F.when(p.isNull(), n["v"]).when(n.isNull() | (p["t"] == n["t"]), p["v"]).otherwise(p["v"] + (n["v"] - p["v"]) * (F.col(at) - p["t"]) / (n["t"] - p["t"]))
     return df.withColumn(out, F.exp(line) if log else line)
+
+
+def preferred(records: DataFrame, key: str, start: str, stop: str, order: str, days: list[str], value: str, out: str) -> DataFrame:
+    """key, day and the value of the record in force on the day (the first in order), or else of the record whose start
+    year is nearest. Keys without records don't appear. One partial aggregation: no record meets another."""
+    dated = records.withColumn("day", F.explode(F.array(*[F.lit(d).cast("date") for d in days])))
+    off = ~F.coalesce(F.col("day").between(F.col(start).cast("date"), F.col(stop).cast("date")), F.lit(False))
+    gap = F.when(off, F.abs(F.year(start) - F.year("day"))).otherwise(F.lit(0))
+    return dated.groupBy(key, "day").agg(F.min_by(value, F.struct(off, gap, F.col(order))).alias(out))
+
+
+def floor_then_near(series: DataFrame, key: str, at: str, value: str, asked: int, out: str) -> DataFrame:
+    """From the last step at or before the asked one (the first step of all if there is none) outward: the nearest positive
+    value of each key, the earlier of two equally near; 0 if it has none. Steps are integers."""
+    base = F.coalesce(F.max(F.when(F.col(at) <= asked, F.col(at))), F.min(at))
+    steps = series.agg(base.alias("_from"))
+    near = F.min_by(value, F.when(F.col(value) > 0, F.struct(F.abs(F.col(at) - F.col("_from")), F.col(at))))
+    return series.join(F.broadcast(steps)).groupBy(key).agg(F.coalesce(near, F.lit(0)).alias(out))
