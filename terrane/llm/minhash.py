@@ -42,10 +42,13 @@ def band_keys(shingles: np.ndarray, offsets: np.ndarray, bands: int, rows: int)
     x = (mix(shingles) >> np.uint64(32)).astype(np.uint32)
     starts = offsets[:-1]
     out = np.zeros((len(starts), bands), np.uint64)
+    turned = np.empty_like(x)
     for b in range(bands):
         key = np.full(len(starts), b + 1, np.uint64)
         for r in range(b * rows, (b + 1) * rows):
-            low = np.minimum.reduceat(x * _A[r] + _B[r], starts)
+            np.multiply(x, _A[r], out=turned)
+            np.add(turned, _B[r], out=turned)
+            low = np.minimum.reduceat(turned, starts)
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + low)
         out[:, b] = key
     return out
