@@ -116,6 +116,37 @@ def test_line_dedup(spark, docs):
         line_dedup.dedup(docs.withColumn("kept_text", F.lit(1)))
 
 
+def test_short_near_copies_link(spark):
+    """Lines against brute force over decoded characters; the shortest that a changed character still links has 49."""
+    r = random.Random(8)
+    text = lambda n, letters: "".join(r.choice(letters) for _ in range(n))
+    swap = lambda s, p: s[:p] + "#" + s[p + 1 :]
+    lines = []
+    for n in (1, 2, 3, 4, 5, 20, 48, 49, 50, 55, 62, 70, 78, 100):
+        for letters in ("abcdefghijklmnop", "日本語中文字éüñßабвг", "a é 日 😀 b c d"):
+            line = text(n, letters).replace(" ", "_")
+            lines += [line, swap(line, n // 2)]
+    k = line_dedup.SHINGLE
+    cut = lambda s: {s[i : i + k] for i in range(len(s) - k + 1)} or {s}
+    sets = [cut(x) for x in lines]
+    root = list(range(len(lines)))
+    for j in range(len(lines)):
+        for i in range(j):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                a, b = sorted((root[i], root[j]))
+                root = [a if x == b else x for x in root]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r.doc_id: r.removed_lines for r in line_dedup.dedup(docs).collect()}
+    assert got == {i: [0] if root[i] < i else [] for i in range(len(lines))}
+    whole = [i for i in range(1, len(lines), 2) if len(lines[i]) >= 49 and all(len(sets[x]) == len(lines[x]) - k + 1 for x in (i - 1, i))]
+    assert len(whole) > 8
+    assert all(got[i] == [0] for i in whole)
+    plain = np.frombuffer(lines[-5].encode(), np.uint8)
+    hashes, bounds = line_dedup._shingles(plain, np.array([0]), np.array([len(plain)]))
+    assert bounds[-1] == len(lines[-5]) - k + 1
+    assert len(np.unique(hashes)) == len(cut(lines[-5]))
+
+
 def test_substring_dedup_equals_brute_force(spark, docs):
     rows = docs.collect()
     split = [SPACED.findall((r.text or "").encode()) for r in rows]
