@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrane.llm import bpe, decontaminate, line_dedup, ngram_join, quality
-from terrane.llm._shared import shared_dir
+from terrane.llm._shared import shared_dir, stored
 
 #: A document goes when the classifier finds it this unlikely to be of quality 1: lower than even odds, so clean ones stay.
 REJECT_BELOW = 0.3
@@ -39,18 +39,27 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: of documents linked by similarity the one with the smallest id stays. Texts without words and documents
-    without links stay; rows that repeat the id of a document that stays are that document and stay too."""
+    without links stay; rows that repeat the id of a document that stays, with a text of its group, stay too. Rows are judged
+    each by its own text: rows without an id go when their group has an id, or all but one of the group's rows do."""
     rows, nodes = ngram_join.join(docs)
-    gone = rows.join(nodes, "node").where("id is not null and id <> class").select(F.col("id").alias("_gone"), F.lit(True).alias("_is")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left").where("_is is null").select(*docs.columns)
+    lead = nodes.where("class is null").groupBy("root").agg(F.min("node").alias("lead"))
+    fates = rows.join(nodes, "node").join(lead, "root", "left").where("id is null or id <> class")
+    fates = stored(fates.select(F.col("id").alias("_id"), F.col("node").alias("_at"), F.coalesce(F.col("node") == F.col("lead"), F.lit(False)).alias("_lead")).distinct(), "fates")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_node") == F.col("_at"))
+    stays = ngram_join.with_node(docs).join(fates, same, "left").where("_lead is null").select(*docs.columns)
+    if not fates.where("_lead").take(1):
+        return stays
+    nameless = ngram_join.with_node(docs.where("doc_id is null")).join(fates.where("_lead").select("_at"), F.col("_node") == F.col("_at"))
+    return stays.unionByName(nameless.dropDuplicates(["_node"]).select(*docs.columns))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: documents of which benchmark windows cover a twentieth of the words or more go."""
+    """Operator 4: documents of which benchmark windows cover a twentieth of the words or more go. Rows are judged each by
+    its own text, known by its 64-bit hash, so rows without an id go too, and rows that repeat an id go alone."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.contamination(docs, items)
-    gone = found.where("n_hit > 0 and 20 * n_hit >= n_words and doc_id is not null").select(F.col("doc_id").alias("_gone"), F.lit(True).alias("_is")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left").where("_is is null").select(*docs.columns)
+    found = decontaminate.contamination(docs.select(F.xxhash64("text").alias("_text"), "text"), items, key="_text")
+    gone = found.where("n_hit > 0 and 20 * n_hit >= n_words").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.xxhash64("text") == F.col("_gone"), "left_anti").select(*docs.columns)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,7 +75,8 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(rows, nodes). rows: id, node, n_words of every document. nodes: node, copies, links (documents with another word
-    sequence that are similar, copies counted) and class (smallest id reachable by links) of every word sequence.
+    sequence that are similar, copies counted), class (smallest id reachable by links) and root (smallest node so reachable)
+    of every word sequence.
 
     Words are what white space parts, unchanged. Equal word sequences are one node. Texts without words, null ones too,
     link with nothing and have no node row. A node whose ids are all null has its texts fetched by its hash."""
@@ -94,7 +95,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     verified = stored(minhash.verify(_own(bodies).select("cluster", "node", "weight", "body"), clusters, shingler, threshold), "verified")
     classed = nodes.select("node", "copies", "first").join(verified, "node", "left").select("node", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"), "first")
     least = classed.groupBy("root").agg(F.min("first").alias("class"))
-    return sig.select("id", "node", "n_words"), classed.join(least, "root").select("node", "copies", "links", "class")
+    return sig.select("id", "node", "n_words"), classed.join(least, "root").select("node", "copies", "links", "class", "root")
 
 
 def _hashed(texts: DataFrame) -> DataFrame:
@@ -107,6 +108,20 @@ def _hashed(texts: DataFrame) -> DataFrame:
     return texts.select("body").mapInArrow(tidy(work), "node long, body string")
 
 
+def with_node(docs: DataFrame, text: str = "text", out: str = "_node") -> DataFrame:
+    """Every row with the node of its text in column `out`; texts without words have one that no node row has."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first, offsets, data in runs(b.column(b.schema.get_field_index(text))):
+                whole = _sets(data, offsets, NGRAM)[3].view(np.int64)
+                part = b.slice(first, len(whole))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(whole)], names=[*part.schema.names, out])
+
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(tidy(work), f"{columns}, `{out}` long")
+
+
 def _own(bodies: DataFrame) -> DataFrame:
     """Only the texts that are the node's: rows that repeat an id may hold other texts."""
 

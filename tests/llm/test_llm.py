@@ -232,6 +232,23 @@ def test_quality_learns_and_is_whole(spark):
     assert quality.score(df.limit(1), empty).collect()[0].score == 0.5
 
 
+def test_pipeline_removes_rows_not_ids(spark, tmp_path):
+    """Rows without an id are removed like others, and a repeated id loses only the rows whose texts go."""
+    a, near, clean, x = (" ".join(w) for w in (words(80, 31), [*words(79, 31), "changed"], words(80, 32), words(80, 33)))
+    y, item = " ".join(words(80, 34)), " ".join(words(20, 35))
+    near_x, leak = " ".join([*x.split(" ")[:-1], "changed"]), item + " tail of it"
+    rows = [(1, a), (2, near), (2, clean), (None, a), (None, near), (None, x), (None, x), (None, near_x), (None, y), (None, None), (None, None), (4, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted([(r.doc_id, r.text) for r in corpus_pipeline.near_copy_stage(spark, docs, "").collect()], key=repr)
+    nameless = [t for i, t in got if i is None and t in (x, near_x)]
+    assert len(nameless) == 1
+    assert got == sorted([(1, a), (2, clean), (None, nameless[0]), (None, y), (None, None), (None, None), (4, " ")], key=repr)
+    spark.createDataFrame([(7, item)], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, leak), (1, clean), (None, leak), (None, y), (None, None), (3, a), (3, a)], "doc_id long, text string")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.benchmark_stage(spark, docs, f"file://{tmp_path}").collect()]
+    assert sorted(got, key=repr) == sorted([(1, clean), (None, y), (None, None), (3, a), (3, a)], key=repr)
+
+
 def test_pipeline_stages_take_effect(spark):
     sf = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf}/documents.parquet")
