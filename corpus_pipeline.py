@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from terrane.llm import bpe, decontaminate, line_dedup, ngram_join, quality
 from terrane.llm._shared import shared_dir, stored
 
-#: A document goes when the classifier finds it this unlikely to be of quality 1: lower than even odds, so clean ones stay.
-REJECT_BELOW = 0.3
+#: A document goes when the classifier finds it less likely than this to be of quality 1, as op10_quality predicts.
+REJECT_BELOW = 0.5
 #: The classifier learns from the rows whose crc32(doc_id as text) mod 3 isn't 1, as in its own query.
 FOLDS, HELD_OUT = 3, 1
 

@@ -232,6 +232,14 @@ def test_quality_learns_and_is_whole(spark):
     assert quality.score(df.limit(1), empty).collect()[0].score == 0.5
 
 
+def test_pipeline_rejects_what_op10_rejects(spark, monkeypatch, tmp_path):
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"file://{tmp_path}/labels.parquet")
+    monkeypatch.setattr(quality, "fit", lambda docs, labels: None)
+    monkeypatch.setattr(quality, "score", lambda docs, net, out: docs.withColumn(out, F.col("doc_id") / 10))
+    docs = spark.createDataFrame([(i, "text") for i in range(11)], "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.quality_stage(spark, docs, f"file://{tmp_path}").collect()} == set(range(5, 11))
+
+
 def test_pipeline_removes_rows_not_ids(spark, tmp_path):
     """Rows without an id are removed like others, and a repeated id loses only the rows whose texts go."""
     a, near, clean, x = (" ".join(w) for w in (words(80, 31), [*words(79, 31), "changed"], words(80, 32), words(80, 33)))
