@@ -107,10 +107,15 @@ def signatures(keyed: DataFrame) -> DataFrame:
                     continue
                 node = word_hashes(data, start, stop).view(np.int64)
                 order = np.lexsort((number, ids[first + text], node))
-                order = order[np.append(True, np.diff(node[order]) != 0)]
+                order = np.sort(order[np.append(True, np.diff(node[order]) != 0)])
                 start, stop, text, number, node = start[order], stop[order], text[order], number[order], node[order]
-                s, bounds = _shingles(data, start, stop)
-                keys = minhash.band_keys(s, bounds, BANDS, ROWS)
+                parts, i = [], 0
+                while i < len(start):
+                    j = max(i + 1, int(np.searchsorted(stop, start[i] + minhash.CACHED, "right")))
+                    s, bounds = _shingles(data[start[i] : stop[j - 1]], start[i:j] - start[i], stop[i:j] - start[i])
+                    parts.append(minhash.band_keys(s, bounds, BANDS, ROWS))
+                    i = j
+                keys = np.concatenate(parts)
                 yield blob_table(_LINE, {"node": node, "key": ids[first + text], "line": number.astype(np.int32), "bands": blobs(keys.ravel(), np.arange(len(keys) + 1) * BANDS)})
 
     return keyed.mapInArrow(tidy(work), "node long, key long, line int, bands binary")
