@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,11 +24,25 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """The session's setting changed for a while."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """The rows written as a table in the shared folder and read from there: cuts lineage and survives lost executors."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows written as a table in the shared folder and read from there: cuts lineage and survives lost executors. The
+    shuffle files of the write go when it ends, since nothing reads them again."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.option("compression", compression).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def discard(df: DataFrame) -> None:

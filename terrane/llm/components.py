@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.llm._bytes import tidy
-from terrane.llm._shared import stored
+from terrane.llm._shared import discard, stored
 
 
 def labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -75,7 +75,8 @@ def components(edges: DataFrame) -> DataFrame:
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u")
         small = small.select(F.col("v").alias("dst"), F.col("m").alias("src")).unionByName(small.select(F.col("u").alias("dst"), F.col("m").alias("src"))).where("src <> dst").distinct()
-        now = stored(small, "links")
+        before, now = now, stored(small, "links")
+        discard(before)
         # done: every node is a leaf of one star, or the centre of one, and not both
         leaves = now.groupBy("dst").agg(F.count(F.lit(1)).alias("n"))
         bad = leaves.where("n > 1").select("dst").unionByName(now.join(leaves.select(F.col("dst").alias("src")), "src", "left_semi").select(F.col("src").alias("dst")))
