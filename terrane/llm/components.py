@@ -71,7 +71,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.select(F.col("src").alias("u"), F.col("dst").alias("v")).unionByName(now.select(F.col("dst").alias("u"), F.col("src").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u")
         small = small.select(F.col("v").alias("dst"), F.col("m").alias("src")).unionByName(small.select(F.col("u").alias("dst"), F.col("m").alias("src"))).where("src <> dst").distinct()

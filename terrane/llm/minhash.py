@@ -20,7 +20,7 @@ from terrane.llm.components import components, labels, reduced
 
 BLOCK = 3000
 #: Shingles that are hashed together: two arrays of this many 32-bit numbers fit a core's cache.
-CACHED = 1 << 16
+CACHED, LANES = 1 << 16, 8
 _rng = np.random.default_rng(411)
 #: Permutations of 32-bit numbers: products with odd factors. Shingles are mixed hashes, so no offset is needed (in 3000 pairs
 #: at 0.8 each, 10 to 200 shingles, 23 bands of 7 met 0.995 to 0.997 without and 0.994 to 0.996 with one).
@@ -48,14 +48,23 @@ def band_keys(shingles: np.ndarray, offsets: np.ndarray, bands: int, rows: int)
         # a block of items whose shingles stay in the processor's cache while all permutations pass over them
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + CACHED, "right")) - 1)
         x = (mix(shingles[offsets[i] : offsets[j]]) >> np.uint64(32)).astype(np.uint32)
-        starts = offsets[i:j] - offsets[i]
+        count = np.diff(offsets[i : j + 1])
+        # an item's shingles lie in LANES rows, the last one repeated, so that minima are taken lane by lane first
+        width = -(-count // LANES)
+        starts = np.cumsum(width) - width
+        inside = np.arange(width.sum()) - np.repeat(starts, width)
+        lane = np.arange(LANES)[:, None] * np.repeat(width, width) + inside
+        x = x[np.repeat(offsets[i:j] - offsets[i], width) + np.minimum(lane, np.repeat(count - 1, width))]
         turned = np.empty_like(x)
-        for b in range(bands):
-            key = np.full(j - i, b + 1, np.uint64)
-            for r in range(b * rows, (b + 1) * rows):
-                low = np.minimum.reduceat(np.multiply(x, _A[r], out=turned), starts)
-                key = mix(key * np.uint64(0x9E3779B97F4A7C15) + low)
-            out[i:j, b] = key
+        low = np.empty(x.shape[1], np.uint32)
+        least = np.empty((bands * rows, j - i), np.uint32)
+        for r in range(bands * rows):
+            np.minimum.reduce(np.multiply(x, _A[r], out=turned), axis=0, out=low)
+            np.minimum.reduceat(low, starts, out=least[r])
+        key = np.repeat(np.arange(1, bands + 1, dtype=np.uint64)[:, None], j - i, axis=1)
+        for r in range(rows):
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + least[r::rows])
+        out[i:j] = key.T
         i = j
     return out
 
