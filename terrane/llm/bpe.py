@@ -22,9 +22,12 @@ from pyspark.sql import DataFrame
 from terrane.llm._bytes import as_binary, tidy
 from terrane.llm._shared import small_batches
 
-#: Bytes of a leaf of the tree.
-LEAF = 12
+#: Bytes of the longest subtrees that are kept for reuse. The leaves of the tree are single bytes.
+KEPT_BYTES = 6
 _TWO_SPACES = regex.compile(r"\s\s")
+#: Fixed value: a pattern whose matches, in texts without two white-space characters in a row, span neither a newline nor the
+#: place before a space. Texts are matched unit by unit under it, and as a whole under any other pattern.
+UNIT_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -39,9 +42,10 @@ class TreeBPE:
         self.ranks, self.kept = ranks, kept
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.find = regex.compile(pattern).findall
+        self._by_units = pattern == UNIT_PATTERN
         self._spines: tuple[dict, dict] = ({}, {})
         self._trees: dict[bytes, tuple[set[int], set[int]]] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[tuple[int, int], tuple[int, ...] | None] = {}
         self._subtrees: dict[bytes, tuple[int, ...]] = {}
         self._plain, self._after_space = _Units(self, ""), _Units(self, " ")
         self._newline = self._packed("\n")
@@ -120,22 +124,25 @@ class TreeBPE:
 
     def compatible(self, a: int, b: int) -> bool:
         """No merge across the boundary comes before the merges inside the two tokens; of equal ranks the leftmost is first."""
-        known = self._pairs.get((a, b))
-        if known is None:
-            x, y, i, j, known, ranks = self._spine(a, True), self._spine(b, False), 0, 0, True, self.ranks
-            while True:
-                (p, until_p), (q, until_q) = x[i], y[j]
-                across = ranks.get(p + q)
-                if across is not None and across < until_p and across <= until_q:
-                    known = False
-                    break
-                if until_p <= until_q:
-                    i += 1
-                    if i == len(x):
-                        break
-                else:
-                    j += 1
-            if len(self._pairs) > self.kept // 4:
+        x, y, i, j, ranks = self._spine(a, True), self._spine(b, False), 0, 0, self.ranks
+        while True:
+            (p, until_p), (q, until_q) = x[i], y[j]
+            across = ranks.get(p + q)
+            if across is not None and across < until_p and across <= until_q:
+                return False
+            if until_p <= until_q:
+                i += 1
+                if i == len(x):
+                    return True
+            else:
+                j += 1
+
+    def _meet(self, a: int, b: int) -> tuple[int, ...] | None:
+        """What two adjacent tokens become: the encoding of their bytes, or None if they are compatible."""
+        known = self._pairs.get((a, b), False)
+        if known is False:
+            known = None if self.compatible(a, b) else self.merge(self.bytes_of[a] + self.bytes_of[b])
+            if len(self._pairs) > self.kept:
                 self._pairs.clear()
             self._pairs[a, b] = known
         return known
@@ -144,29 +151,29 @@ class TreeBPE:
         """The encoding of the joined bytes of two encodings."""
         if not left or not right:
             return left or right
-        if self.compatible(left[-1], right[0]):
+        middle = self._meet(left[-1], right[0])
+        if middle is None:
             return left + right
         i = j = 1
         while True:
-            window = b"".join([self.bytes_of[t] for t in left[len(left) - i :] + right[:j]])
-            middle = self.merge(window)
-            left_ok = i == len(left) or self.compatible(left[-i - 1], middle[0])
-            right_ok = j == len(right) or self.compatible(middle[-1], right[j])
+            left_ok = i == len(left) or self._meet(left[-i - 1], middle[0]) is None
+            right_ok = j == len(right) or self._meet(middle[-1], right[j]) is None
             if left_ok and right_ok:
                 return left[: len(left) - i] + middle + right[j:]
             i, j = i if left_ok else min(2 * i, len(left)), j if right_ok else min(2 * j, len(right))
+            middle = self.merge(b"".join([self.bytes_of[t] for t in left[len(left) - i :] + right[:j]]))
 
     def _tree(self, piece: bytes) -> tuple[int, ...]:
-        """Halves down to leaves of a few bytes, which are merged directly; short subtrees are kept for reuse."""
-        if len(piece) <= LEAF:
-            return self._merge_short(piece)
-        short = len(piece) <= 4 * LEAF
+        """Halves down to single bytes; short subtrees are kept for reuse."""
+        if len(piece) == 1:
+            return (self.ranks[piece],)
+        short = len(piece) <= KEPT_BYTES
         if short and (got := self._subtrees.get(piece)) is not None:
             return got
         half = len(piece) // 2
         out = self.join(self._tree(piece[:half]), self._tree(piece[half:]))
         if short:
-            if len(self._subtrees) > self.kept // 8:
+            if len(self._subtrees) > self.kept // 2:
                 self._subtrees.clear()
             self._subtrees[piece] = out
         return out
@@ -184,11 +191,13 @@ class TreeBPE:
     def encode(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit integers.
 
-        Without two white-space characters in a row, no match of the pattern spans a newline or the place before a
-        space, so units between them are looked up; any other text is matched as a whole.
+        Under UNIT_PATTERN and without two white-space characters in a row, units between newlines and spaces are looked
+        up; any other text is matched as a whole.
         """
         if not text:
             return b""
+        if not self._by_units:
+            return self._packed(text)
         if _TWO_SPACES.search(text):
             return self._concat([self._plain[piece] if piece[:1] != " " else self._after_space[piece[1:]] for piece in self.find(text)])
         lines = []

@@ -48,6 +48,10 @@ def test_bpe_equals_tiktoken_and_round_trips(spark, docs):
         assert ids.tolist() == want.encode_ordinary(t)
         assert tree.decode(ids) == t.encode()
     assert all(tree._tree(token) == (rank,) for token, rank in list(tree.ranks.items())[::97])
+    assert P.PATTERN == bpe.UNIT_PATTERN
+    other = r"\p{L}+ ?|[^\p{L}]+"  # a match may end in a space: texts aren't matched unit by unit
+    odd, want = bpe.TreeBPE(tree.ranks, other), tiktoken.Encoding("odd", pat_str=other, mergeable_ranks=tree.ranks, special_tokens={})
+    assert all(np.frombuffer(odd.encode(t), "<u4").tolist() == want.encode_ordinary(t) for t in [*texts[:200], "one two\nthree 4 five"])
     got = bpe.decode(bpe.encode(docs, path, P.PATTERN), path, P.PATTERN).collect()
     assert all(bytes(x.decoded) == (x.text or "").encode() and x.extra == "e" for x in got)
 
