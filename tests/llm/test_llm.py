@@ -208,19 +208,72 @@ def test_sharding_law(spark, docs):
     assert max(totals.values()) <= 1.03 * 8000
 
 
+def _embedding_truth(x):
+    """Links to others of every row and the smallest row reachable, by the whole matrix of cosines."""
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = u @ u.T >= 0.9
+    np.fill_diagonal(link, False)
+    i, j = np.nonzero(link)
+    return link.sum(1), components.labels(len(x), i, j)
+
+
 def test_embedding_links_equal_brute_force(spark):
+    """64 dimensions: pairs at cosines from 0.9 on, groups, copies, repeats, another length and rows that link with nothing."""
     r = np.random.default_rng(5)
-    x = r.normal(size=(400, 16))
-    x[200:260] = x[:60] + r.normal(size=(60, 16)) * 0.1
-    x[300] = x[0]
-    rows = [(i, [float(v) for v in x[i]]) for i in range(400)] + [(400, None), (401, [0.0] * 16), (402, [math.nan] * 16), (403, [1.0])]
-    got = {q.id: (q.n_links, q.component_id) for q in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
-    u = x / np.linalg.norm(x, axis=1, keepdims=True)
-    link = u @ u.T >= 0.9 - 1e-15
-    want = link.sum(1) - 1
-    assert sum(got[i][0] for i in range(400)) >= 0.98 * want.sum()
-    assert all(got[i][0] <= want[i] for i in range(400))
-    assert all(got[i] == (0, i) for i in range(400, 404))
+    x = r.normal(size=(3000, 64))
+    side = r.normal(size=(600, 64))
+    base = x[:600]
+    side -= (side * base).sum(1)[:, None] / (base * base).sum(1)[:, None] * base
+    cos = np.linspace(0.9001, 0.999, 600)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x[600:1200] = cos[:, None] * unit(base) + np.sqrt(1 - cos**2)[:, None] * unit(side)
+    x[1200:1500] = x[1200] + r.normal(size=(300, 64)) * 0.05
+    x[2000:2010] = x[2000] * np.arange(1, 11)[:, None]
+    rows = [(i, [float(v) for v in x[i]], "e") for i in range(3000)]
+    rows += [(5000 + i, v, None) for i, v in enumerate([None, [], [0.0] * 64, [math.nan] * 64, [math.inf] * 64, [None] + [1.0] * 63, [1.0, 2.0, 3.0], [1.0, 2.0, 3.1], [3.0, -1.0, 0.0], [1.0], [2.0], [-1.0], [-0.5], [0.0, -0.0]])]
+    rows += [(None, [float(v) for v in x[2500]], "e")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, node string")
+    out = embedding_dedup.near_duplicates(df).collect()
+    assert len(out) == len(rows)
+    got = {q.id: (q.n_links, q.component_id) for q in out}
+    links, roots = _embedding_truth(x)
+    links[2500] += 1
+    assert all(got[i][0] <= links[i] for i in range(3000))
+    assert sum(got[i][0] for i in range(3000)) >= 0.995 * links.sum()
+    met = [i for i in range(3000) if got[i][0] == links[i]]
+    assert sum(got[i][1] == roots[i] for i in met) >= 0.995 * len(met)
+    assert all(got[5000 + i] == (0, 5000 + i) for i in (0, 1, 2, 3, 4, 5, 8, 13))
+    assert got[5006] == got[5007] == (1, 5006)
+    assert got[5009] == got[5010] == (1, 5009)
+    assert got[5011] == got[5012] == (1, 5011)
+    assert got[None] == (1, 2500)
+    assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_multi_sequence_walk_is_whole_and_ordered():
+    """The walk visits exactly the cells within the radius, the nearest first."""
+    r = np.random.default_rng(6)
+    x = r.normal(size=(500, 10))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    grid = embedding_dedup.Grid(x, 16, 0.9, 0.99)
+    q, cell = grid.visits(x[:50])
+    a, b = grid.moves(x[:50])
+    total = (a[:, :, None] + b[:, None, :]).reshape(50, -1)
+    assert set(zip(q.tolist(), cell.tolist(), strict=True)) == set(zip(*(v.tolist() for v in np.nonzero(total <= grid.radius)), strict=True))
+    for k in range(50):
+        steps = total[k][cell[q == k]]
+        assert (np.diff(steps) >= 0).all()
+
+
+def test_embedding_parts_and_chunks_lose_nothing(spark, monkeypatch):
+    """Rows of the grid cut into parts, and full parts into chunks, give the links of the uncut grid."""
+    r = np.random.default_rng(7)
+    x = np.concatenate([r.normal(size=(500, 8)), r.normal(size=(1, 8)) + r.normal(size=(300, 8)) * 0.1])
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(800)], "vec_id long, embedding array<double>")
+    whole = sorted(embedding_dedup.near_duplicates(df).collect())
+    monkeypatch.setattr(embedding_dedup, "RESIDENTS", 40)
+    assert sorted(embedding_dedup.near_duplicates(df).collect()) == whole
+    assert sum(w.n_links for w in whole) > 300 * 200
 
 
 def test_quality_learns_and_is_whole(spark):
