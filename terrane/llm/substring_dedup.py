@@ -1,12 +1,18 @@
 """Removal of long passages that repeat across documents, by prefix-partitioned suffix trees over words.
 
 A window is WINDOW consecutive words. Its anchor is its smallest GRAM-word hash, so equal windows have equal anchors at
-equal offsets, and only suffixes that begin at an anchor are needed (one in about twenty). Suffixes are split by prefix:
-first by the GRAM words of the anchor. Of a group, occurrences with equal surroundings collapse to that of the smallest
-document. What is left of a group that fits LIMIT suffixes is made into one tree in one task, held as sorted suffixes
-with their common prefix lengths; a second tree holds what stands before the anchors, read backwards. A deep node of one
-tree with a node of the other is one repeated window. The prefix of a larger group is lengthened to the whole window,
-whose groups need only their smallest document and combine before they are shuffled.
+equal offsets, and only suffixes that begin at an anchor are needed (one in about twenty). Anchors that only one document has
+are left out, and of occurrences with equal surroundings those of larger documents are removed at once. The other suffixes
+are split by prefixes of variable length until a group fits GROUP_BYTES:
+
+1. by the GRAM words of the anchor;
+2. a group that is too large by LONGER words around the anchor: windows that begin less than HALF words before it by the words
+   after it, the others by the HALF words before it as well;
+3. a group that still is too large by the whole window. Then a group is a single node of its tree, which needs no more than
+   its smallest document, a minimum that tasks combine before they shuffle.
+
+A group that fits is made into one tree in one task, held as sorted suffixes with their common prefix lengths; a second tree
+holds what stands before the anchors, read backwards. A deep node of one tree with a node of the other is one repeated window.
 """
 
 from __future__ import annotations
@@ -15,31 +21,30 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrane.llm._bytes import SPACED, as_binary, blob_table, blobs, mix, ragged, runs, spans, tidy, window_hashes, word_hashes
+from terrane.llm._bytes import SPACED, as_binary, blob_table, mix, powers, ragged, runs, spans, tidy, window_hashes, word_hashes
 from terrane.llm._shared import partitions, small_batches, stored
 
 WINDOW, GRAM = 50, 8
-#: Suffixes of a group that one task makes into a tree, and occurrences of an anchor in one map task from which it counts as large.
-LIMIT, LOCAL = 4000, 400
+HALF = (WINDOW - GRAM + 1) // 2
+LONGER = GRAM + HALF
+#: Bytes of the two matrices that a group's trees are read from, which bounds its suffixes: a row holds the group and the
+#: words from the anchor on, and the group and the words before it.
+GROUP_BYTES = 3 << 20
+ROW_BYTES = 8 * (WINDOW + 1 + WINDOW - GRAM + 1)
 _NULL = (1 << 63) - 1
-_REC = np.dtype([("anchor", "<u8"), ("ctx", "<u8"), ("key", "<i8"), ("node", "<i8"), ("pos", "<i4"), ("off", "u1"), ("n", "u1"), ("kind", "<u2")])
-PLAIN, COVERED, HASHED, TREE = 0, 1, 2, 3
 
 
-def _hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes of some texts, where each text's begin, and a hash of each text's words."""
+def _most() -> int:
+    return max(2, GROUP_BYTES // ROW_BYTES)
+
+
+def _hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of some texts, and where each text's begin."""
     starts, ends, at = spans(data, offsets, SPACED)
-    words = word_hashes(data, starts, ends)
-    count = np.diff(at)
-    node = np.zeros(len(count), np.uint64)
-    some = np.flatnonzero(count)
-    if len(some):
-        inside = (np.arange(len(words)) - np.repeat(at[:-1], count)).astype(np.uint64)
-        node[some] = np.add.reduceat(mix(words ^ mix(inside)), at[:-1][some])
-    return words, at, mix(node + count.astype(np.uint64))
+    return word_hashes(data, starts, ends), at
 
 
 def _anchored(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -71,143 +76,94 @@ def _anchored(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def _spans_hash(words: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Hash of the words of each span; spans may overlap."""
-    from terrane.llm._bytes import powers
-
     power, inverse = powers(3, len(words))
     total = np.zeros(len(words) + 1, np.uint64)
     np.cumsum(words * power, out=total[1:])
     return mix((total[first + length] - total[first]) * inverse[first] + length.astype(np.uint64))
 
 
-def _collapse(rec: np.ndarray) -> np.ndarray:
-    """Of plain occurrences with equal surroundings all but the smallest document's become covered."""
-    order = np.lexsort((rec["node"], rec["key"], rec["off"], rec["n"], rec["ctx"], rec["anchor"]))
-    rec = rec[order]
-    same = np.zeros(len(rec), bool)
-    same[1:] = (rec["anchor"][1:] == rec["anchor"][:-1]) & (rec["ctx"][1:] == rec["ctx"][:-1]) & (rec["n"][1:] == rec["n"][:-1]) & (rec["off"][1:] == rec["off"][:-1])
-    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(rec))))
-    rec = rec.copy()
-    rec["kind"][rec["key"] > rec["key"][head]] = COVERED
-    return rec
+_RUN = pa.schema([("anchor", pa.int64()), ("ctx", pa.int64()), ("key", pa.int64()), ("id", pa.int64()), ("pos", pa.int32()), ("off", pa.int32()), ("n", pa.int32())])
+_RUN_SQL = "anchor long, ctx long, key long, id long, pos int, off int, n int"
 
 
-def _groups(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Group number of each row of records sorted by anchor, and the groups' sizes."""
-    new = np.ones(len(rec), bool)
-    new[1:] = rec["anchor"][1:] != rec["anchor"][:-1]
-    group = np.cumsum(new) - 1
-    return group, np.bincount(group) if len(rec) else np.zeros(0, np.int64)
+def occurrences(keyed: DataFrame) -> DataFrame:
+    """Runs of n windows with the same anchor: the first begins at word pos of its text, the anchor off words later; ctx is a
+    hash of all words of the run."""
 
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, own = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            for row, offsets, data in runs(batch.column(2)):
+                words, at = _hash_words(data, offsets)
+                first, number, place, anchor = _anchored(words, at)
+                if len(first):
+                    text = np.searchsorted(at, first, "right") - 1
+                    ctx = _spans_hash(words, first, number + WINDOW - 1)
+                    yield blob_table(_RUN, {"anchor": anchor.view(np.int64), "ctx": ctx.view(np.int64), "key": key[row + text], "id": own[row + text], "pos": (first - at[text]).astype(np.int32), "off": (place - first).astype(np.int32), "n": number.astype(np.int32)})
 
-_BLOB = pa.schema([("p", pa.int32()), ("recs", pa.binary())])
-_FOUND = pa.schema([("kind", pa.int32()), ("anchor", pa.int64()), ("ctx", pa.int64()), ("key", pa.int64()), ("node", pa.int64()), ("pos", pa.int32()), ("off", pa.int32()), ("n", pa.int32())])
-_FOUND_SQL = "kind int, anchor long, ctx long, key long, node long, pos int, off int, n int"
+    return keyed.mapInArrow(tidy(work), _RUN_SQL)
 
 
-def occurrences(keyed: DataFrame) -> DataFrame:
-    """Runs of windows whose anchor stands in other documents too: covered ones, and those that a tree or a hash decides."""
-    n_parts = partitions(keyed.sparkSession)
-
-    def emit(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        rec = _collapse(np.concatenate(held))
-        group, size = _groups(rec)
-        plain = rec["kind"] == PLAIN
-        mine = np.bincount(group[plain], minlength=len(size))
-        hot = np.flatnonzero(mine > LOCAL)
-        # one plain row of a large group goes to the anchor's reducer and tells it; the others need no meeting there
-        large = np.isin(group, hot) & plain
-        teller = np.zeros(len(rec), bool)
-        teller[np.searchsorted(group, hot)] = True
-        if len(hot):
-            flag = rec[teller].copy()
-            flag["kind"], flag["n"] = HASHED, 0
-            rec["kind"][large] = HASHED
-            rec = np.concatenate([rec, flag])
-        by = np.where((rec["kind"] == PLAIN) | (rec["n"] == 0), rec["anchor"], mix(rec["ctx"] ^ rec["node"].view(np.uint64)))
-        part = (mix(by) >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32)
-        order = np.argsort(part, kind="stable")
-        bounds = np.searchsorted(part[order], np.arange(n_parts + 1))
-        yield blob_table(_BLOB, {"p": np.arange(n_parts, dtype=np.int32), "recs": blobs(rec[order], bounds)})
-
-    def mapped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            ids = np.asarray(batch.column(0))
-            for row, offsets, data in runs(batch.column(1)):
-                words, at, node = _hash_words(data, offsets)
-                first, number, place, anchor = _anchored(words, at)
-                if not len(first):
-                    continue
-                text = np.searchsorted(at, first, "right") - 1
-                rec = np.zeros(len(first), _REC)
-                rec["anchor"], rec["ctx"] = anchor, _spans_hash(words, first, number + WINDOW - 1)
-                rec["key"], rec["node"], rec["pos"] = ids[row + text], node[text].view(np.int64), first - at[text]
-                rec["off"], rec["n"] = place - first, number
-                held.append(rec)
-                size += len(rec)
-                if size > 400_000:
-                    yield from emit(held)
-                    held, size = [], 0
-        if held:
-            yield from emit(held)
-
-    def reduce(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [np.frombuffer(x, _REC) for b in batches for x in b.column("recs").to_pylist()]
-        if not got:
-            return
-        rec = np.concatenate(got)
-        told = np.unique(rec["anchor"][rec["n"] == 0])
-        done = rec[(rec["kind"] != PLAIN) & (rec["n"] > 0)]
-        rec = _collapse(rec[rec["kind"] == PLAIN])
-        left = rec[rec["kind"] == PLAIN]
-        group, size = _groups(left)
-        forced = np.isin(left["anchor"], told)
-        left["kind"] = np.where(forced | (size[group] > LIMIT), HASHED, TREE)
-        left = left[forced | (size[group] > 1)]
-        for out in (done, rec[rec["kind"] == COVERED], left):
-            for i in range(0, len(out), 50_000):
-                x = out[i : i + 50_000]
-                yield blob_table(_FOUND, {"kind": x["kind"].astype(np.int32), "anchor": x["anchor"].view(np.int64) if x["anchor"].flags.c_contiguous else np.ascontiguousarray(x["anchor"]).view(np.int64), "ctx": np.ascontiguousarray(x["ctx"]).view(np.int64), "key": np.ascontiguousarray(x["key"]), "node": np.ascontiguousarray(x["node"]), "pos": np.ascontiguousarray(x["pos"]), "off": x["off"].astype(np.int32), "n": x["n"].astype(np.int32)})
-
-    return keyed.mapInArrow(tidy(mapped), "p int, recs binary").repartitionById(n_parts, "p").mapInArrow(tidy(reduce), _FOUND_SQL)
-
-
-_SPAN_SQL = "kind int, anchor long, key long, node long, pos int, off int, n int, body binary, h1 long, h2 long"
-_SPAN = pa.schema([("kind", pa.int32()), ("anchor", pa.int64()), ("key", pa.int64()), ("node", pa.int64()), ("pos", pa.int32()), ("off", pa.int32()), ("n", pa.int32()), ("body", pa.binary()), ("h1", pa.int64()), ("h2", pa.int64())])
+_SPAN_SQL = "level int, g long, key long, id long, pos int, off int, n int, body binary"
+_SPAN = pa.schema([("level", pa.int32()), ("g", pa.int64()), ("key", pa.int64()), ("id", pa.int64()), ("pos", pa.int32()), ("off", pa.int32()), ("n", pa.int32()), ("body", pa.binary())])
 
 
 def _fetched(keyed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The words of the wanted spans (kind TREE), or two hashes of each of their windows (kind HASHED, one row a window)."""
-    per_text = wanted.groupBy("key").agg(F.collect_list(F.struct("kind", "anchor", "node", "pos", "off", "n")).alias("want"))
+    """The words of the wanted runs, by their group: that of the anchor (level 1), or for anchors with too many suffixes
+    (large) that of LONGER words around it (level 2), for which a run is parted at HALF."""
+    per_text = wanted.groupBy("key", "id").agg(F.collect_list(F.struct("large", "anchor", "pos", "off", "n")).alias("want"))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             want, where = b.column("want").values, b.column("want").offsets.to_numpy()
-            cols = {f: np.asarray(want.field(f)) for f in ("kind", "anchor", "node", "pos", "off", "n")}
-            keys = b.column("key").to_pylist()
+            cols = {f: np.asarray(want.field(f)) for f in ("anchor", "pos", "off", "n")}
+            large = np.asarray(want.field("large"))
+            keys, ids = np.asarray(b.column("key")), np.asarray(b.column("id"))
             for i, body in enumerate(as_binary(b.column("text"))):
                 data = np.frombuffer(body.as_py(), np.uint8)
                 starts, ends, _ = spans(data, np.array([0, len(data)]), SPACED)
-                words, _, node = _hash_words(data, np.array([0, len(data)]))
-                mine = {f: c[where[i] : where[i + 1]] for f, c in cols.items()}
-                own = mine["node"] == node.view(np.int64)[0]
-                mine = {f: c[own] for f, c in mine.items()}
-                tree = mine["kind"] == TREE
-                t = {f: c[tree] for f, c in mine.items()}
-                if len(t["pos"]):
-                    text = [data[starts[p] : ends[p + n + WINDOW - 2]].tobytes() for p, n in zip(t["pos"].tolist(), t["n"].tolist(), strict=True)]
-                    none = pa.nulls(len(text), pa.int64())
-                    yield blob_table(_SPAN, {"kind": t["kind"], "anchor": t["anchor"], "key": np.full(len(text), keys[i]), "node": t["node"], "pos": t["pos"], "off": t["off"], "n": t["n"], "body": pa.array(text, pa.binary()), "h1": none, "h2": none})
-                h = {f: c[~tree] for f, c in mine.items()}
-                if len(h["pos"]):
-                    second = window_hashes(word_hashes(data, starts, ends, 1), WINDOW, 1)
-                    firsts = np.unique(ragged(h["pos"], h["n"]))
-                    m = len(firsts)
-                    w1 = window_hashes(words, WINDOW)
-                    zero = np.zeros(m, np.int32)
-                    yield blob_table(_SPAN, {"kind": zero + HASHED, "anchor": zero.astype(np.int64), "key": np.full(m, keys[i]), "node": np.full(m, node.view(np.int64)[0]), "pos": firsts.astype(np.int32), "off": zero, "n": zero + 1, "body": pa.nulls(m, pa.binary()), "h1": w1[firsts].view(np.int64), "h2": second[firsts].view(np.int64)})
-
-    return keyed.join(per_text, "key").mapInArrow(tidy(work), _SPAN_SQL)
+                mine = slice(where[i], where[i + 1])
+                anchor, pos, off, n = (cols[f][mine].astype(np.int64) for f in ("anchor", "pos", "off", "n"))
+                big = large[mine]
+                yield rows(1, anchor[~big], keys[i], ids[i], pos[~big], off[~big], n[~big], data, starts, ends)
+                if big.any():
+                    words = word_hashes(data, starts, ends)
+                    anchor, pos, off, n = anchor[big], pos[big], off[big], n[big]
+                    # windows that begin HALF words before the anchor or more
+                    early = np.clip(off - HALF + 1, 0, n)
+                    for some, skip, size, shift in ((early > 0, 0 * early, early, HALF), (early < n, early, n - early, 0)):
+                        a, q = anchor[some], (pos + skip)[some]
+                        o = (off - skip)[some]
+                        around = _spans_hash(words, q + o - shift, np.full(len(q), LONGER))
+                        g = mix(a.view(np.uint64) ^ mix(around + np.uint64(shift)))
+                        yield rows(2, g.view(np.int64), keys[i], ids[i], q, o, size[some], data, starts, ends)
+
+    def rows(level: int, g: np.ndarray, key: int, own: int, pos: np.ndarray, off: np.ndarray, n: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+        text = [data[a:z].tobytes() for a, z in zip(starts[pos].tolist(), ends[pos + n + WINDOW - 2].tolist(), strict=True)]
+        full = lambda v: np.full(len(pos), v, np.int64)
+        return blob_table(_SPAN, {"level": np.full(len(pos), level, np.int32), "g": g, "key": full(key), "id": full(own), "pos": pos.astype(np.int32), "off": off.astype(np.int32), "n": n.astype(np.int32), "body": pa.array(text, pa.binary())})
+
+    return keyed.join(per_text, ["key", "id"]).mapInArrow(tidy(work), _SPAN_SQL)
+
+
+_WHOLE = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("key", pa.int64()), ("id", pa.int64()), ("pos", pa.int32())])
+
+
+def _whole(rows: DataFrame) -> DataFrame:
+    """Every window of some runs by two hashes of its words."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            key, own, pos, n = (np.asarray(b.column(f)).astype(np.int64) for f in ("key", "id", "pos", "n"))
+            for first, offsets, data in runs(b.column("body")):
+                starts, ends, at = spans(data, offsets, SPACED)
+                some = slice(first, first + len(offsets) - 1)
+                where = ragged(at[:-1], n[some])
+                of = np.repeat(np.arange(len(offsets) - 1), n[some])
+                h1, h2 = (window_hashes(word_hashes(data, starts, ends, k), WINDOW, k)[where].view(np.int64) for k in (0, 1))
+                yield blob_table(_WHOLE, {"h1": h1, "h2": h2, "key": key[some][of], "id": own[some][of], "pos": (pos[some][of] + where - at[:-1][of]).astype(np.int32)})
+
+    return rows.select("key", "id", "pos", "n", "body").mapInArrow(tidy(work), "h1 long, h2 long, key long, id long, pos int")
 
 
 def _sorted_suffixes(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -262,25 +218,25 @@ def deep_nodes(words: np.ndarray, at: np.ndarray, off: np.ndarray, n: np.ndarray
     return np.concatenate(hit_row), np.concatenate(hit_window)
 
 
-_CUT = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("first", pa.int32()), ("words", pa.int32())])
-_CUT_SQL = "key long, node long, first int, words int"
+_CUT = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("first", pa.int32()), ("words", pa.int32())])
+_CUT_SQL = "key long, id long, first int, words int"
 
 
-def _trees(spans_df: DataFrame) -> DataFrame:
-    """Windows to remove, found by the trees of whole groups; groups of one anchor are sorted together in a task."""
-    n_parts = 2 * partitions(spans_df.sparkSession)
-    rows = spans_df.where(F.col("kind") == TREE).select("anchor", "key", "node", "pos", "off", "n", "body").repartition(n_parts, "anchor").sortWithinPartitions("anchor")
+def _trees(runs_df: DataFrame) -> DataFrame:
+    """Windows to remove, found by the trees of whole groups; a task sorts some groups together, a bounded number of rows."""
+    rows = runs_df.select("g", "key", "id", "pos", "off", "n", "body").repartition(2 * partitions(runs_df.sparkSession), "g").sortWithinPartitions("g")
+    most = _most()
 
     def grow(table: pa.Table) -> Iterator[pa.RecordBatch]:
         table = table.combine_chunks()
-        anchor = np.asarray(table.column("anchor").chunk(0))
+        g = np.asarray(table.column("g").chunk(0))
         parts, bounds = [], [np.zeros(1, np.int64)]
         for _, offsets, data in runs(table.column("body").chunk(0)):
-            words, at, _ = _hash_words(data, offsets)
+            words, at = _hash_words(data, offsets)
             parts.append(words)
             bounds.append(at[1:] + bounds[-1][-1])
-        group = np.cumsum(np.append(0, anchor[1:] != anchor[:-1]))
-        col = {f: np.asarray(table.column(f).chunk(0)).astype(np.int64) for f in ("key", "node", "pos", "off", "n")}
+        group = np.cumsum(np.append(0, g[1:] != g[:-1]))
+        col = {f: np.asarray(table.column(f).chunk(0)).astype(np.int64) for f in ("key", "id", "pos", "off", "n")}
         row, window = deep_nodes(np.concatenate(parts), np.concatenate(bounds), col["off"], col["n"], group, col["key"])
         order = np.lexsort((window, row))
         row, window = row[order], window[order]
@@ -290,7 +246,7 @@ def _trees(spans_df: DataFrame) -> DataFrame:
         if len(begin):
             length = np.diff(np.append(begin, len(row)))
             r = row[begin]
-            yield blob_table(_CUT, {"key": col["key"][r], "node": col["node"][r], "first": (col["pos"][r] + window[begin]).astype(np.int32), "words": (length + WINDOW - 1).astype(np.int32)})
+            yield blob_table(_CUT, {"key": col["key"][r], "id": col["id"][r], "first": (col["pos"][r] + window[begin]).astype(np.int32), "words": (length + WINDOW - 1).astype(np.int32)})
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [], 0
@@ -299,10 +255,10 @@ def _trees(spans_df: DataFrame) -> DataFrame:
             for i in range(0, len(b), 2000):
                 kept.append(b.slice(i, 2000))
                 size += len(kept[-1])
-                if size > 12_000:
+                if size > 3 * most:
                     table = pa.Table.from_batches(kept)
-                    anchor = table.column("anchor").to_numpy()
-                    last = int(np.searchsorted(anchor, anchor[-1]))
+                    g = table.column("g").to_numpy()
+                    last = int(np.searchsorted(g, g[-1]))
                     if last:
                         yield from grow(table.slice(0, last))
                         kept = table.slice(last).to_batches()
@@ -313,41 +269,62 @@ def _trees(spans_df: DataFrame) -> DataFrame:
     return rows.mapInArrow(tidy(work), _CUT_SQL)
 
 
+def _shared(of: DataFrame, by: str) -> DataFrame:
+    """The groups that more than one document has, with their numbers of rows."""
+    return of.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.min("key").alias("a"), F.max("key").alias("z")).where("a < z").select(by, "rows")
+
+
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, node, first, words: spans of words that start in a document with a smaller id too. node tells rows that
-    repeat an id apart; a null id counts as larger than all others."""
+    """key, id, first, words, by: spans of words that start in a document with a smaller key too, and which step found them
+    (0 equal surroundings; 1, 2, 3 groups of the three prefixes). id is a hash of the text, which tells rows that repeat a key
+    apart; the key of a null id is larger than all others."""
     small_batches(docs.sparkSession)
-    keyed = _keyed(docs, key, text)
+    keyed = docs.select(_key(key).alias("key"), _id(text).alias("id"), F.col(text).alias("text"))
     found = stored(occurrences(keyed), "anchors")
-    covered = found.where(F.col("kind") == COVERED).select("key", "node", F.col("pos").alias("first"), (F.col("n") + WINDOW - 1).alias("words"))
-    wanted = found.where(F.col("kind") > COVERED)
-    fetched = stored(_fetched(keyed, wanted), "spans")
-    windows = fetched.where(F.col("kind") == HASHED).select("h1", "h2", "key", "node", "pos")
-    least = windows.groupBy("h1", "h2").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most")
-    hashed = windows.join(least, ["h1", "h2"]).where("key > least").select("key", "node", F.col("pos").alias("first"), F.lit(WINDOW).alias("words"))
-    return covered.unionByName(_trees(fetched)).unionByName(hashed)
+    met = stored(found.join(_shared(found, "anchor").select("anchor"), "anchor", "left_semi"), "shared")
+    around = ["anchor", "ctx", "off", "n"]
+    least = met.groupBy(*around).agg(F.min("key").alias("least"))
+    met = stored(met.join(least, around).select("*", (F.col("key") > F.col("least")).alias("covered")), "covered")
+    covered = met.where("covered").select("key", "id", F.col("pos").alias("first"), (F.col("n") + WINDOW - 1).alias("words"), F.lit(0).alias("by"))
+    rest = met.where("not covered").select("anchor", "key", "id", "pos", "off", "n")
+    wanted = rest.join(_shared(rest, "anchor"), "anchor").withColumn("large", F.col("rows") > _most())
+    spans_ = stored(_fetched(keyed, wanted), "spans")
+    second = spans_.where("level = 2")
+    second = stored(second.join(_shared(second, "g"), "g"), "longer")
+    windows = stored(_whole(second.where(F.col("rows") > _most())), "windows")
+    one = windows.groupBy("h1", "h2").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a < z")
+    third = windows.join(one, ["h1", "h2"]).where("key > a").select("key", "id", F.col("pos").alias("first"), F.lit(WINDOW).alias("words"), F.lit(3).alias("by"))
+    first = _trees(spans_.where("level = 1")).withColumn("by", F.lit(1))
+    second = _trees(second.where(F.col("rows") <= _most())).withColumn("by", F.lit(2))
+    return covered.unionByName(first).unionByName(second).unionByName(third)
+
+
+def _key(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("long"), F.lit(_NULL))
 
 
-def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NULL)).alias("key"), F.col(text).alias("text"))
+def _id(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str = "kept_text") -> DataFrame:
     """Every row with n_words, n_removed and `out`: the kept words joined by one space.
 
     A word goes if a window over it also starts in a document with a smaller id; windows are judged on the input. Texts of
-    fewer than WINDOW words, empty and null ones lose nothing. Rows that repeat an id don't remove words from each other."""
-    clash = {out, "n_words", "n_removed", "_key", "_cuts"} & set(docs.columns)
+    fewer than WINDOW words, empty and null ones lose nothing. Ids are read as longs (an id that is no number fails the cast); a
+    null id counts as larger than all others. Rows that repeat an id, or have none, don't remove words from each other. An
+    empty table gives an empty table. Columns named like the new ones are an error."""
+    clash = {out, "n_words", "n_removed", "_key", "_id", "_cuts"} & set(docs.columns)
     if clash:
         raise ValueError(f"the input has columns {sorted(clash)} already")
-    cuts = repeats(docs, key, text).groupBy("key").agg(F.collect_list(F.struct("node", "first", "words")).alias("_cuts")).withColumnRenamed("key", "_key")
-    joined = docs.withColumn("_key", F.coalesce(F.col(key).cast("long"), F.lit(_NULL))).join(cuts, "_key", "left").select(*docs.columns, "_cuts")
+    cuts = repeats(docs, key, text).groupBy(F.col("key").alias("_key"), F.col("id").alias("_id")).agg(F.collect_list(F.struct("first", "words")).alias("_cuts"))
+    joined = docs.withColumn("_key", _key(key)).withColumn("_id", _id(text)).join(cuts, ["_key", "_id"], "left").select(*docs.columns, "_cuts")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cut = b.column("_cuts")
             where, there = cut.offsets.to_numpy(), np.asarray(cut.is_valid())
-            cols = [np.asarray(cut.values.field(f)) for f in ("node", "first", "words")]
+            begins, lengths = (np.asarray(cut.values.field(f)) for f in ("first", "words"))
             rest = b.drop_columns(["_cuts"])
             texts, total, gone, first, size = [], [], [], 0, 0
             bodies = as_binary(b.column(b.schema.get_field_index(text)))
@@ -355,13 +332,10 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str = "
                 words = body.as_py().split()
                 keep = None
                 if there[i]:
-                    data = np.frombuffer(body.as_py(), np.uint8)
-                    node = _hash_words(data, np.array([0, len(data)]))[2].view(np.int64)[0]
-                    mine, begin, length = (c[where[i] : where[i + 1]] for c in cols)
-                    own = mine == node
+                    begin, length = begins[where[i] : where[i + 1]], lengths[where[i] : where[i + 1]]
                     change = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(change, begin[own], 1)
-                    np.add.at(change, begin[own] + length[own], -1)
+                    np.add.at(change, begin, 1)
+                    np.add.at(change, begin + length, -1)
                     keep = np.cumsum(change)[:-1] == 0
                     texts.append(b" ".join([words[k] for k in np.flatnonzero(keep)]))
                 else:

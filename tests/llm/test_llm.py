@@ -151,8 +151,7 @@ def test_short_near_copies_link(spark):
     assert len(np.unique(hashes)) == len(cut(lines[-5]))
 
 
-def test_substring_dedup_equals_brute_force(spark, docs):
-    rows = docs.collect()
+def _substring_truth(rows):
     split = [SPACED.findall((r.text or "").encode()) for r in rows]
     key = [math.inf if r.doc_id is None else r.doc_id for r in rows]
     least: dict = {}
@@ -163,9 +162,33 @@ def test_substring_dedup_equals_brute_force(spark, docs):
     for k, w in zip(key, split, strict=True):
         gone = {p for i in range(len(w) - 49) if least[tuple(w[i : i + 50])] < k for p in range(i, i + 50)}
         want.append((len(w), len(gone), b" ".join(x for p, x in enumerate(w) if p not in gone).decode()))
-    got = [(r.n_words, r.n_removed, r.kept_text) for r in substring_dedup.dedup(docs).collect()]
+    return want
+
+
+@pytest.mark.parametrize("group_bytes", [substring_dedup.GROUP_BYTES, 2 * substring_dedup.ROW_BYTES, 12 * substring_dedup.ROW_BYTES])
+def test_substring_dedup_equals_brute_force(spark, docs, monkeypatch, group_bytes):
+    """Also with groups so small that prefixes are lengthened, up to the whole window."""
+    monkeypatch.setattr(substring_dedup, "GROUP_BYTES", group_bytes)
+    r = random.Random(4)
+    common = words(110, 21)
+    rows = []
+    for i in range(40):
+        cut = r.randint(0, 40)
+        some = common[cut : cut + r.randint(45, 70)]
+        if i % 3 == 0:
+            some = [*some[:20], "other", *some[20:]]
+        rows.append((None if i % 13 == 5 else 100 + i // 2, " ".join(words(r.randint(0, 30), 50 + i % 7) + some + words(r.randint(0, 30), 60 + i % 5)), "x"))
+    rows.append((90, " ".join(common[:60] * 4), "x"))
+    both = docs.unionByName(spark.createDataFrame(rows, DOCS))
+    want = _substring_truth(both.collect())
+    got = [(r.n_words, r.n_removed, r.kept_text) for r in substring_dedup.dedup(both).collect()]
     assert sorted(got) == sorted(want)
     assert sum(g[1] for g in got) > 0
+    steps = {r.by for r in substring_dedup.repeats(both).select("by").distinct().collect()}
+    assert steps == ({0, 1} if group_bytes > 1 << 20 else {0, 1, 2, 3} if group_bytes == 2 * substring_dedup.ROW_BYTES else steps)
+    assert substring_dedup.dedup(both.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="n_words"):
+        substring_dedup.dedup(both.withColumn("n_words", F.lit(1)))
 
 
 def test_decontamination(spark):
