@@ -56,10 +56,20 @@ def test_bpe_equals_tiktoken_and_round_trips(spark, docs):
     assert all(bytes(x.decoded) == (x.text or "").encode() and x.extra == "e" for x in got)
 
 
-def test_katz_equals_brute_force(spark, docs):
-    rows = docs.collect()
+@pytest.mark.parametrize("often", [katz.OFTEN, 3])
+def test_katz_equals_brute_force(spark, docs, monkeypatch, often):
+    """Scores, stored tables and their evaluation, also with so low a bound that many words and bigrams count as frequent."""
+    monkeypatch.setattr(katz, "OFTEN", often)
+    r = random.Random(12)
+    more = [(20 + i, " ".join(r.choice("the of a cat dog sat on mat Then") if r.random() < 0.3 else r.choice(["the", "of", "cat", "sat", "held%d" % (i % 4)]) for _ in range(60)), "e") for i in range(30)]
+    held = [(22 + 3 * i, "only held only held only held only held the only", "e") for i in range(10)]  # frequent, but not in training
+    both = docs.unionByName(spark.createDataFrame(more + [(i, t, e) for i, t, e in held if i % 3 == 1], DOCS))
+    if often == 3:  # so many partitions that the bound is some ten occurrences
+        monkeypatch.setattr(katz, "partitions", lambda spark: 60)
+    rows = both.collect()
     train = F.coalesce(F.col("doc_id") % 3 != 1, F.lit(False))
-    got = katz.score(docs, train).collect()
+    scores, model = katz.fit_score(both, train)
+    got = scores.collect()
     tokens = [[*SPACED.findall((r.text or "").lower().encode()), 0] for r in rows]
     taught = [t for r, t in zip(rows, tokens, strict=True) if r.doc_id is not None and r.doc_id % 3 != 1]
     c = collections.Counter(w for t in taught for w in t)
@@ -72,10 +82,31 @@ def test_katz_equals_brute_force(spark, docs):
     p1 = lambda w: kept(d1, c[w]) / n if c[w] else unseen
     alpha = {h: (1 - sum(kept(d2, r) / ch[h] for (x, _), r in b.items() if x == h)) / (1 - sum(p1(w) for x, w in b if x == h)) for h in {x for x, _ in b}}
     p = lambda h, w: kept(d2, b[h, w]) / ch[h] if b[h, w] else alpha.get(h, 1) * p1(w)
-    want = sorted(round(sum(math.log10(p(h, w)) for h, w in zip([-1, *t], t, strict=False)), 6) for t in tokens)
-    assert sorted(round(r.score, 6) for r in got) == want
+    true = [sum(math.log10(p(h, w)) for h, w in zip([-1, *t], t, strict=False)) for t in tokens]
+    assert sorted(round(r.score, 6) for r in got) == sorted(round(x, 6) for x in true)
     for h in list(alpha)[:20]:  # exactly normalised
         assert abs(sum(p(h, w) for w in c) + alpha[h] * unseen - 1) < 1e-9
+    assert sorted(r["count"] for r in model.unigrams.collect()) == sorted(c.values())
+    assert sorted(r["count"] for r in model.bigrams.collect()) == sorted(b.values())
+    assert sorted(round(r.log_alpha, 9) for r in model.histories.collect()) == sorted(round(math.log10(x), 9) for x in alpha.values())
+    sums = collections.defaultdict(float)
+    for row, x in zip(rows, true, strict=True):
+        sums[row.doc_id] += x
+    looked = {r.doc_id: r.score for r in model.log_probability(both).collect()}
+    assert looked.keys() == sums.keys()
+    assert {k: round(looked[k] - sums[k], 6) for k in sums if abs(looked[k] - sums[k]) > 1e-6} == {}
+    assert katz.score(both.limit(0), train).count() == 0
+
+
+def test_katz_numbers_have_no_bound():
+    """Counts and word numbers take as many bytes as they need."""
+    for values in ([], [0], [1, 255], [1 << 24, 3], [(1 << 40) + 5, 0, 1 << 62]):
+        x = np.array(values, np.int64)
+        assert katz._unpacked(katz._packed(x)).tolist() == values
+        rows = katz._narrow(x)
+        assert katz._widened(rows.tobytes(), rows.shape[1]).tolist() == values
+    d = katz.Discounts(np.array([10, 5, 3, 2, 1, 1]))
+    assert d.counts(np.array([1 << 40]))[0] == (1 << 40) - katz.LARGE
 
 
 def test_near_copies_and_links(spark, docs):
