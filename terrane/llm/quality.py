@@ -129,7 +129,11 @@ def _gradients(net: Network, data: np.ndarray, offsets: np.ndarray, y: np.ndarra
     n_filters = len(net.bias)
     d_feats = dz[:, None] * net.out
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    d_chunk = d_feats[owner, :n_filters] / sizes[owner, None] + d_feats[owner, n_filters:] * (chunk == most[owner])
+    # neighbouring chunks share a half, so several may hold the maximum: the first takes the gradient
+    top_here = chunk == most[owner]
+    rank = np.cumsum(top_here, axis=0)
+    rank -= (rank[starts] - top_here[starts])[owner]
+    d_chunk = d_feats[owner, :n_filters] / sizes[owner, None] + d_feats[owner, n_filters:] * (top_here & (rank == 1))
     d_act = np.zeros_like(act)
     np.add.at(d_act, (source, np.arange(n_filters)[None, :]), d_chunk)
     d_act *= act > 0
@@ -167,122 +171,6 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return train([t.encode() for t in got.column("t").to_pylist()], np.array(got.column("y").to_pylist(), np.float64))
 
 
-def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        z = self.features(data, offsets).astype(np.float64) @ self.out.astype(np.float64) + self.out_bias
-        return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
-
-
-def _chunk_starts(first: np.ndarray) -> np.ndarray:
-    """Chunks join two neighbouring half chunks; a text of one half chunk has one chunk."""
-    return np.concatenate(([0], np.cumsum(np.maximum(np.diff(first) - 1, 1))))[:-1]
-
-
-def _chunks(act: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    n = np.diff(first)
-    count = np.maximum(n - 1, 1)
-    start = np.concatenate(([0], np.cumsum(count)))
-    left = np.repeat(first[:-1], count) + np.arange(start[-1]) - np.repeat(start[:-1], count)
-    right = np.minimum(left + 1, np.repeat(first[1:], count) - 1)
-    return np.maximum(act[left], act[right]), np.where(act[left] >= act[right], left[:, None], right[:, None])
-
-
-def train(texts: list[bytes], labels: np.ndarray, epochs: int = 10, batch: int = 24, rate: float = 0.02, seed: int = 7) -> Network:
-    """Fit by Adam on the logistic loss. The same texts and labels in the same order give the same network."""
-    rng = np.random.default_rng(seed)
-    net = Network(rng.normal(0, 0.25, (WIDTH, 256, FILTERS)).astype(np.float32), np.zeros(FILTERS, np.float32), rng.normal(0, 0.1, 2 * FILTERS).astype(np.float32), 0.0)
-    if len(texts) == 0 or labels.min() == labels.max():
-        p = (labels.sum() + 1) / (len(labels) + 2) if len(texts) else 0.5
-        net.out[:], net.out_bias = 0, float(np.log(p / (1 - p)))
-        return net
-    net.out_bias = float(np.log(max(labels.mean(), 1e-3) / max(1 - labels.mean(), 1e-3)))
-    shapes = [net.table, net.bias, net.out, np.zeros(1, np.float32)]
-    moment, second, step = [np.zeros_like(x) for x in shapes], [np.zeros_like(x) for x in shapes], 0
-    for epoch in range(epochs):
-        order = rng.permutation(len(texts))
-        for at in range(0, len(order), batch):
-            pick = order[at : at + batch]
-            grads = [np.zeros_like(x) for x in shapes]
-            for first, offsets, data in runs(pa.array([texts[i] for i in pick], pa.binary()), RUN):
-                y = labels[pick[first : first + len(offsets) - 1]].astype(np.float32)
-                for total, part in zip(grads, _gradients(net, data, offsets, y, len(pick)), strict=True):
-                    total += part
-            step += 1
-            pace = rate * (1 - 0.9 * epoch / epochs)
-            values = [net.table, net.bias, net.out, np.array([net.out_bias], np.float32)]
-            for k, (v, g) in enumerate(zip(values, grads, strict=True)):
-                g = g + 1e-4 * v
-                moment[k] = 0.9 * moment[k] + 0.1 * g
-                second[k] = 0.99 * second[k] + 0.01 * g * g
-                v -= pace * (moment[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6)
-            net.out_bias = float(values[3][0])
-    return net
-
-
-def _gradients(net: Network, data: np.ndarray, offsets: np.ndarray, y: np.ndarray, batch: int) -> list[np.ndarray]:
-    """Gradients of the loss over some texts of a batch of so many, divided by the batch."""
-    top, first, padded, bounds = net.pooled(data, offsets)
-    act = np.maximum(top + net.bias, 0)
-    chunk, source = _chunks(act, first)
-    starts = _chunk_starts(first)
-    sizes = np.diff(np.append(starts, len(chunk)))
-    mean = np.add.reduceat(chunk, starts, axis=0) / sizes[:, None]
-    most = np.maximum.reduceat(chunk, starts, axis=0)
-    feats = np.concatenate([mean, most], axis=1)
-    p = 1 / (1 + np.exp(-np.clip(feats @ net.out + net.out_bias, -50, 50)))
-    dz = (p - y) / batch
-    n_filters = len(net.bias)
-    d_feats = dz[:, None] * net.out
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    d_chunk = d_feats[owner, :n_filters] / sizes[owner, None] + d_feats[owner, n_filters:] * (chunk == most[owner])
-    d_act = np.zeros_like(act)
-    np.add.at(d_act, (source, np.arange(n_filters)[None, :]), d_chunk)
-    d_act *= act > 0
-    # where in its half chunk each filter responded most
-    k, f = np.nonzero(d_act)
-    width, half = net.table.shape[0], CHUNK // 2
-    n = len(padded) - width + 1
-    grad = np.zeros_like(net.table)
-    begin, stop = bounds[::2][k], bounds[1::2][k]
-    for at in range(0, len(k), 4096):
-        b, s, ff, g = begin[at : at + 4096], stop[at : at + 4096], f[at : at + 4096], d_act[k[at : at + 4096], f[at : at + 4096]]
-        place = b[:, None] + np.arange(half)
-        bytes_at = np.minimum(place, n - 1)
-        response = np.zeros(place.shape, np.float32)
-        for j in range(width):
-            response += net.table[j][padded[bytes_at + j], ff[:, None]]
-        response[place >= s[:, None]] = -np.inf
-        best = b + response.argmax(1)
-        for j in range(width):
-            np.add.at(grad[j], (padded[best + j], ff), g)
-    return [grad, d_act.sum(0), feats.T @ dz, np.array([dz.sum()], np.float32)]
-
-
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = SAMPLE_ROWS) -> Network:
-    """Fit on a bounded sample: the `rows` labelled keys that come first by hash (a key with several labels takes the
-    largest), and of each text SAMPLE_PIECES pieces of PIECE_BYTES bytes spread evenly over the whole of it. Null labels
-    and keys are left out. Without any row, or with one label only, the network gives the (smoothed) share of label 1."""
-    small_batches(docs.sparkSession)
-    spark = docs.sparkSession
-    held = labels.select(F.col(key).alias("k"), F.col(label).alias("y")).where("k is not null and y is not null").groupBy("k").agg(F.max("y").alias("y"))
-    chosen = spark.createDataFrame(held.orderBy(F.xxhash64("k"), "k").limit(rows).toArrow())
-    sample = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(chosen), "k")
-
-    def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cut = []
-            for v in as_binary(b.column("t")):
-                v = v.as_py()
-                if len(v) > SAMPLE_PIECES * PIECE_BYTES:
-                    v = b"".join(v[i : i + PIECE_BYTES] for i in np.linspace(0, len(v) - PIECE_BYTES, SAMPLE_PIECES).astype(int))
-                cut.append(v)
-            yield pa.RecordBatch.from_arrays([b.column("k"), b.column("y"), pa.array(cut, pa.binary())], names=["k", "y", "t"])
-
-    kind = chosen.schema["k"].dataType.simpleString(), chosen.schema["y"].dataType.simpleString()
-    got = sample.mapInArrow(tidy(pieces), f"k {kind[0]}, y {kind[1]}, t binary").toArrow()
-    got = got.take(pc.sort_indices(got, [("k", "ascending"), ("t", "ascending")])) if len(got) else got
-    return train(got.column("t").to_pylist(), np.array(got.column("y").to_pylist(), np.float64))
-
-
 def score(df: DataFrame, net: Network, text: str = "text", out: str = "score") -> DataFrame:
     """Adds the probability of label 1 to every row; null and empty texts are scored as empty. All bytes of a text count."""
     small_batches(df.sparkSession)

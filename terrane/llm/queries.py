@@ -100,9 +100,8 @@ def op7_virtual_slots(spark: SparkSession, sf_dir: str, shards: int = 40) -> Dat
     slotted = sharding.into_slots(sized, ["doc_id", "text_crc32"])
     load = sharding.measure(slotted, "size")
     slot_map = sharding.SlotMap(spark, shared_dir(spark, "slot-map"))
-    first = sharding.balance(load, shards)
-    slot_map.write(1, first, load)
-    latest = slot_map.write(2, sharding.rebalance(first, load, shards, 0.0), load)
+    slot_map.edit(load, shards)
+    latest = slot_map.edit(load, shards, 0.0)
     placed = sharding.assign(slotted, latest, ["doc_id", "text_crc32", "size"])
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 

@@ -10,15 +10,18 @@ import heapq
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 SLOTS = 4096
-MAP_SCHEMA = "version int, slot int, shard int, bytes long, rows long"
+MAP_SCHEMA = "slot int, shard int, bytes long, rows long"
 
 
 def into_slots(df: DataFrame, keys: list[str], slots: int = SLOTS, out: str = "virtual_slot") -> DataFrame:
-    """Adds the record's slot. Null keys hash like any other value, so they share the slot of their other keys."""
+    """Adds the record's slot. Null keys hash like any other value, so they share the slot of their other keys. Rows that are
+    equal in all keys share a slot; with a record's id among the keys, groups of equal texts are spread over all slots, which
+    is what even sizes need when one text is a third of all rows. A column of that name already there is an error."""
+    if out in df.columns:
+        raise ValueError(f"the input has a column {out} already")
     return df.withColumn(out, F.pmod(F.xxhash64(*keys), F.lit(slots)).cast("int"))
 
 
@@ -66,24 +69,47 @@ def rebalance(current: list[int], load: list[tuple[int, int]], shards: int, tole
 
 
 class SlotMap:
-    """The stored slot-to-shard map: one partition a version, so that an older assignment can always be read."""
+    """The stored slot-to-shard map: one folder a version, never overwritten, so that an older assignment can be read."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def versions(self) -> list[int]:
+        """Numbers of the whole versions, in order; none where the path doesn't exist."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        done = self.spark._jvm.org.apache.hadoop.fs.Path
+        names = [s.getPath().getName() for s in fs.listStatus(root)]
+        return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version=") and fs.exists(done(f"{self.path}/{n}/_SUCCESS")))
 
     def write(self, version: int, shards: list[int], load: list[tuple[int, int]]) -> DataFrame:
+        """A new version. One that is there already is an error."""
         rows = [(s, k, *load[s]) for s, k in enumerate(shards)]
-        self.spark.createDataFrame(rows, "slot int, shard int, bytes long, rows long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/version={version}")
+        self.spark.createDataFrame(rows, MAP_SCHEMA).coalesce(1).write.mode("error").parquet(f"{self.path}/version={version}")
         return self.read(version)
 
     def read(self, version: int) -> DataFrame:
-        schema = T.StructType.fromDDL("slot int, shard int, bytes long, rows long")
-        return self.spark.read.schema(schema).parquet(f"{self.path}/version={version}")
+        return self.spark.read.schema(MAP_SCHEMA).parquet(f"{self.path}/version={version}")
+
+    def edit(self, load: list[tuple[int, int]], shards: int, tolerance: float = 0.02) -> DataFrame:
+        """The map for this load: the latest version, read back, with whole slots moved until it is even, written as the next
+        version; a first version if there is none."""
+        have = self.versions()
+        if not have:
+            return self.write(1, balance(load, shards), load)
+        current = [r["shard"] for r in self.read(have[-1]).orderBy("slot").collect()]
+        return self.write(have[-1] + 1, rebalance(current, load, shards, tolerance), load)
 
 
 def assign(df: DataFrame, stored: DataFrame, order: list[str], virtual: str = "virtual_slot", shard: str = "shard", place: str = "slot") -> DataFrame:
     """Adds each record's shard and its place in it, gapless from 0: the rows of the shard's lower slots come first, and
-    inside a slot the order is by the given columns. The map has one row a slot, so it is small enough to broadcast."""
+    inside a slot the order is by the given columns; rows equal in all of them come in any order. The map has one row a slot,
+    so it is small enough to broadcast. An empty table stays empty. Columns named like the new ones are an error."""
+    clash = {shard, place, "_s", "_before", "_inside"} & set(df.columns)
+    if clash:
+        raise ValueError(f"the input has columns {sorted(clash)} already")
     before = F.coalesce(F.sum("rows").over(Window.partitionBy("shard").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     small = stored.select(F.col("slot").alias("_s"), F.col("shard").alias(shard), before.alias("_before"))
     inside = F.row_number().over(Window.partitionBy(virtual).orderBy(*order)) - 1
