@@ -29,6 +29,7 @@ def tidy(work: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -
         try:
             yield from work(batches)
         finally:
+            _powers.clear()
             pa.default_memory_pool().release_unused()
             trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
             if trim:

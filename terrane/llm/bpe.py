@@ -43,12 +43,16 @@ class TreeBPE:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.find = regex.compile(pattern).findall
         self._by_units = pattern == UNIT_PATTERN
+        self.forget()
+        self._newline = self._packed("\n")
+
+    def forget(self) -> None:
+        """Empty the caches, which would stay in an idle worker's memory."""
         self._spines: tuple[dict, dict] = ({}, {})
         self._trees: dict[bytes, tuple[set[int], set[int]]] = {}
         self._pairs: dict[tuple[int, int], tuple[int, ...] | None] = {}
         self._subtrees: dict[bytes, tuple[int, ...]] = {}
         self._plain, self._after_space = _Units(self, ""), _Units(self, " ")
-        self._newline = self._packed("\n")
 
     # -- one piece ---------------------------------------------------------------------------------------------------
     def merge(self, window: bytes) -> tuple[int, ...]:
@@ -255,16 +259,19 @@ def _mapped(df: DataFrame, column: str, out: str, kind: pa.DataType, sql: str, p
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path, pattern)
-        for batch in batches:
-            values = as_binary(batch.column(batch.schema.get_field_index(column)))
-            made, size, first = [], 0, 0
-            for i, value in enumerate(values):
-                made.append(step(bpe, value.as_py()))
-                size += len(made[-1])
-                if size >= limit or i + 1 == len(values):
-                    part = batch.slice(first, i + 1 - first)
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, kind)], names=[*part.schema.names, out])
-                    made, size, first = [], 0, i + 1
+        try:
+            for batch in batches:
+                values = as_binary(batch.column(batch.schema.get_field_index(column)))
+                made, size, first = [], 0, 0
+                for i, value in enumerate(values):
+                    made.append(step(bpe, value.as_py()))
+                    size += len(made[-1])
+                    if size >= limit or i + 1 == len(values):
+                        part = batch.slice(first, i + 1 - first)
+                        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, kind)], names=[*part.schema.names, out])
+                        made, size, first = [], 0, i + 1
+        finally:
+            bpe.forget()
 
     return df.mapInArrow(tidy(work), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", `{out}` {sql}")
 
