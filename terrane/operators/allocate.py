@@ -9,12 +9,14 @@ from pyspark.sql.window import Window
 
 def largest_remainder(df: DataFrame, group: list[str], weight: str, total: str, order: list[str], out: str, fallback: str | None = None) -> DataFrame:
     """Whole numbers that sum to the group's total, in proportion to the weights: floors, then one more for the largest
-    remainders, ties by order. A group without weight uses the fallback weights."""
+    remainders, ties by order. A group without weight uses the fallback weights, and equal ones if these are zero too."""
     w = Window.partitionBy(*group)
     chosen = F.col(weight)
     if fallback:
         chosen = F.when(F.sum(weight).over(w) > 0, F.col(weight)).otherwise(F.col(fallback))
-    x = df.withColumn("_w", chosen).withColumn("_exact", F.col(total) * F.col("_w") / F.sum("_w").over(w)).withColumn("_low", F.floor("_exact"))
+    x = df.withColumn("_w", F.coalesce(chosen, F.lit(0)))
+    x = x.withColumn("_w", F.when(F.sum("_w").over(w) > 0, F.col("_w")).otherwise(F.lit(1)))
+    x = x.withColumn("_exact", F.col(total) * F.col("_w") / F.sum("_w").over(w)).withColumn("_low", F.floor("_exact"))
     rank = F.row_number().over(w.orderBy(F.desc(F.col("_exact") - F.col("_low")), *order))
     x = x.withColumn("_rank", rank).withColumn("_rest", F.col(total) - F.sum("_low").over(w))
     return x.withColumn(out, (F.col("_low") + F.when(F.col("_rank") <= F.col("_rest"), 1).otherwise(0)).cast("long")).drop("_w", "_exact", "_low", "_rank", "_rest")

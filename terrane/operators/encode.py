@@ -9,11 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from terrane.operators.graph import cut
+
 
 def dictionary(df: DataFrame, value: str, position: str) -> DataFrame:
-    """value and code: numbers from 0 in the order of first appearance, for non-null values. Ranking sees one row a value."""
+    """value and code: numbers from 0 in the order of first appearance, for non-null values. The values are dealt by ranges
+    of their first places and numbered in each partition; what partitions hold before is added from one row a partition."""
     first = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.min(position).alias("first_at"))
-    return first.withColumn("code", F.row_number().over(Window.orderBy("first_at", value)) - 1)
+    dealt = cut(first.repartitionByRange("first_at", value).sortWithinPartitions("first_at", value).withColumn("_id", F.monotonically_increasing_id()))
+    place = F.shiftright("_id", 33)
+    sizes = dealt.groupBy(place.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    numbered = dealt.withColumn("_p", place).join(F.broadcast(before), "_p")
+    return numbered.select(value, "first_at", (F.col("_before") + F.col("_id").bitwiseAND((1 << 33) - 1)).cast("int").alias("code"))
 
 
 def deltas(df: DataFrame, key: list[str], order: list[str], value: str, out: str) -> DataFrame:
@@ -36,9 +44,11 @@ def versions(df: DataFrame, key: str, content: str, day: str) -> DataFrame:
 
 
 def manifest_diff(old: DataFrame, new: DataFrame, key: str, digest: str) -> DataFrame:
-    a, b = old.select(key, F.col(digest).alias("old_digest")), new.select(key, F.col(digest).alias("new_digest"))
+    """key and state (missing, extra, differs) of the entries that two manifests don't agree on. A null digest is a value:
+    it differs from any other and agrees with itself."""
+    a, b = (t.select(key, F.col(digest).alias(f"{n}_digest"), F.lit(True).alias(f"{n}_has")) for t, n in ((old, "old"), (new, "new")))
     j = a.join(b, key, "full_outer")
-    state = F.when(F.col("old_digest").isNull(), "extra").when(F.col("new_digest").isNull(), "missing").when(F.col("old_digest") != F.col("new_digest"), "differs")
+    state = F.when(F.col("old_has").isNull(), "extra").when(F.col("new_has").isNull(), "missing").when(~F.col("old_digest").eqNullSafe(F.col("new_digest")), "differs")
     return j.withColumn("state", state).where("state is not null").select(key, "state")
 
 

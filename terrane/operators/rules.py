@@ -50,10 +50,19 @@ def first_match(matches: DataFrame, keys: list[str], rule_no: str) -> DataFrame:
 
 
 def geo(predicate: str, x: Column, y: Column) -> Column:
-    """`box:W,S,E,N` and `circle:LON,LAT,KM` (a circle in degrees), alternatives parted by |."""
+    """`box:W,S,E,N`, `circle:LON,LAT,KM` (a circle in degrees) and `poly:LON LAT;LON LAT;...`, alternatives parted by |."""
     out = F.lit(False)
     for part in predicate.split("|"):
         kind, _, args = part.strip().partition(":")
+        if kind == "poly":
+            ring = [tuple(float(v) for v in p.split()) for p in args.split(";")]
+            crossings = F.lit(0)
+            for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1], strict=True):
+                if ay != by:
+                    passes = ((F.lit(ay) > y) != (F.lit(by) > y)) & (x < (bx - ax) * (y - ay) / (by - ay) + ax)
+                    crossings = crossings + F.when(passes, 1).otherwise(0)
+            out = out | (crossings % 2 == 1)
+            continue
         v = [float(a) for a in args.split(",")]
         if kind == "box":
             out = out | (x.between(v[0], v[2]) & y.between(v[1], v[3]))

@@ -127,13 +127,13 @@ SQL["block_downsample"] = "SELECT CAST(floor(l_quantity / 5) AS BIGINT) AS gx, C
 
 def zonal_two_level(spark: SparkSession, d: str) -> DataFrame:
     l, p, s = table(spark, d, "lineitem"), table(spark, d, "part"), table(spark, d, "supplier")
-    cells = l.where("l_quantity > 49").join(p, F.col("l_partkey") == F.col("p_partkey")).join(s, F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("s_nationkey").alias("nation"), F.col("p_size").alias("size"), F.col("l_quantity").cast("bigint").alias("q"))
+    cells = l.join(p, F.col("l_partkey") == F.col("p_partkey")).join(s, F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("s_nationkey").alias("nation"), F.col("p_size").alias("size"), F.col("l_quantity").cast("bigint").alias("q"))
     zones = table(spark, d, "nation").select(F.col("n_nationkey").alias("nation")).join(F.broadcast(spark.range(1, 51).select(F.col("id").cast("int").alias("size"))))
     return spatial.zonal_two_level(cells, zones, ["nation", "size"], "q", "quantity")
 
 
 SQL["zonal_two_level"] = """
-WITH c AS (SELECT s_nationkey AS nation, p_size AS size, CAST(SUM(l_quantity) AS BIGINT) AS q FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 49 GROUP BY ALL)
+WITH c AS (SELECT s_nationkey AS nation, p_size AS size, CAST(SUM(l_quantity) AS BIGINT) AS q FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL)
 SELECT n_nationkey AS nation, CAST(r.size AS INTEGER) AS size, coalesce(q, 0) AS quantity FROM nation CROSS JOIN range(1, 51) r(size) LEFT JOIN c ON c.nation = n_nationkey AND c.size = r.size"""
 
 
@@ -198,12 +198,12 @@ WITH q AS (SELECT s_nationkey, l_partkey, SUM(l_quantity) AS q FROM lineitem JOI
 SELECT s_nationkey, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY r) AS parts FROM r WHERE r <= 12 GROUP BY 1"""
 
 
-def _boxes(spark: SparkSession, d: str, rows: str = "p_partkey % 10 = 0") -> DataFrame:
+def _boxes(spark: SparkSession, d: str) -> DataFrame:
     x, y = F.col("p_size").cast("double"), F.floor(F.col("p_retailprice") / 40).cast("double")
-    return table(spark, d, "part").where(rows).select("p_partkey", x.alias("x1"), y.alias("y1"), (x + F.col("p_partkey") % 4).alias("x2"), (y + F.col("p_partkey") % 3).alias("y2"))
+    return table(spark, d, "part").select("p_partkey", x.alias("x1"), y.alias("y1"), (x + F.col("p_partkey") % 4).alias("x2"), (y + F.col("p_partkey") % 3).alias("y2"))
 
 
-_BOXES = "b AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS x1, floor(p_retailprice / 40) AS y1, p_size + p_partkey % 4 AS x2, floor(p_retailprice / 40) + p_partkey % 3 AS y2 FROM part WHERE p_partkey % 10 = 0)"
+_BOXES = "b AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS x1, floor(p_retailprice / 40) AS y1, p_size + p_partkey % 4 AS x2, floor(p_retailprice / 40) + p_partkey % 3 AS y2 FROM part)"
 
 
 def paint_smallest(spark: SparkSession, d: str) -> DataFrame:
@@ -233,31 +233,6 @@ WITH {_BOXES}, c AS (SELECT DISTINCT p_partkey, gx, unnest(range(CAST(floor(y1 /
 SELECT DISTINCT p.p_partkey AS a, q.p_partkey AS b FROM c p JOIN c q USING (gx, gy) WHERE p.p_partkey < q.p_partkey"""
 
 
-_EVERY = _BOXES.replace(" WHERE p_partkey % 10 = 0", "")
-
-
-def paint_smallest_all(spark: SparkSession, d: str) -> DataFrame:
-    area = (F.col("x2") - F.col("x1") + 1) * (F.col("y2") - F.col("y1") + 1)
-    return spatial.paint(_boxes(spark, d, "true"), 1.0, [area.alias("a"), F.col("p_partkey")], "p_partkey")
-
-
-SQL["paint_smallest_all"] = SQL["paint_smallest"].replace(_BOXES, _EVERY)
-
-
-def cell_join_all(spark: SparkSession, d: str) -> DataFrame:
-    points = table(spark, d, "lineitem").select(F.col("l_quantity").alias("px"), F.floor(F.col("l_extendedprice") / 1000).alias("py"))
-    return spatial.points_in_boxes(points, _boxes(spark, d, "true"), "px", "py", 4.0).groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n"))
-
-
-SQL["cell_join_all"] = SQL["cell_join"].replace(_BOXES, _EVERY)
-
-
-def adjacency_all(spark: SparkSession, d: str) -> DataFrame:
-    return spatial.adjacency(spatial.cover(_boxes(spark, d, "true"), 2.0), "p_partkey")
-
-
-SQL["adjacency_all"] = SQL["adjacency"].replace(_BOXES, _EVERY)
-
 
 def distance_pairs(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings").select("vec_id", F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))

@@ -7,9 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrane.plans import measures, series, sets_and_codes, shapes, time_and_rules, upkeep
+from terrane.plans import measures, scalars, series, sets_and_codes, shapes, time_and_rules, upkeep
 
-MODULES = (time_and_rules, measures, sets_and_codes, series, upkeep, shapes)
+MODULES = (time_and_rules, measures, sets_and_codes, series, upkeep, shapes, scalars)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

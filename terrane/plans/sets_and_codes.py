@@ -108,23 +108,15 @@ SELECT CAST(node AS INTEGER) AS node, CAST(min(n_hops) AS INTEGER) AS n_hops FRO
 
 
 def connected_components(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part").where("p_size <= 3").select(F.col("p_partkey").alias("src"), (F.floor(F.col("p_retailprice") / 20) + 1000000).cast("bigint").alias("dst"))
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("src"), (F.floor(F.col("p_retailprice") / 20) + 1000000).cast("bigint").alias("dst"))
     return graph.components(p)
 
 
 SQL["connected_components"] = """
-WITH e AS (SELECT p_partkey AS p, CAST(floor(p_retailprice / 20) AS BIGINT) + 1000000 AS b FROM part WHERE p_size <= 3)
+WITH e AS (SELECT p_partkey AS p, CAST(floor(p_retailprice / 20) AS BIGINT) + 1000000 AS b FROM part)
 SELECT p AS node, min(p) OVER (PARTITION BY b) AS label FROM e UNION ALL SELECT b, min(p) FROM e GROUP BY b"""
 
 
-def connected_components_all(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "part").select(F.col("p_partkey").alias("src"), (F.floor(F.col("p_retailprice") / 20) + 1000000).cast("bigint").alias("dst"))
-    return graph.components(p)
-
-
-SQL["connected_components_all"] = SQL["connected_components"].replace(" WHERE p_size <= 3", "")
-
-
 def codec_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     lists = table(spark, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list("o_orderkey")).alias("keys"))
     coded = lists.withColumn("code", encode.encode_deltas("keys"))

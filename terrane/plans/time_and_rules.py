@@ -144,14 +144,15 @@ SELECT year, n AS n_nearest, COUNT(*) AS n FROM j WHERE r = 1 GROUP BY ALL"""
 def asof_bracket(spark: SparkSession, d: str) -> DataFrame:
     day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
     daily = table(spark, d, "events").where("event_type = 'purchase'").groupBy("user_id", day.alias("day")).agg(F.count(F.lit(1)).cast("double").alias("v"))
-    grid = daily.groupBy("user_id").agg(F.min("day").alias("lo")).select("user_id", F.explode(F.sequence(F.lit(0), F.lit(29))).alias("day"))
+    days = daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    grid = daily.select("user_id").distinct().join(F.broadcast(days)).select("user_id", F.explode(F.sequence("lo", "hi")).alias("day"))
     full = temporal.bracket_fill(grid.join(daily, ["user_id", "day"], "left"), ["user_id"], "day", "v", "filled")
     return full.groupBy("day").agg(F.round(F.sum("filled"), 6).alias("total"), F.count("v").alias("known"))
 
 
 SQL["asof_bracket"] = """
 WITH e AS (SELECT user_id, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS day, CAST(COUNT(*) AS DOUBLE) AS v FROM events WHERE event_type = 'purchase' GROUP BY ALL),
- g AS (SELECT u.user_id, CAST(t.day AS INTEGER) AS day, e.v FROM (SELECT DISTINCT user_id FROM e) u CROSS JOIN range(30) t(day) LEFT JOIN e ON e.user_id = u.user_id AND e.day = t.day),
+ g AS (SELECT u.user_id, CAST(t.day AS INTEGER) AS day, e.v FROM (SELECT DISTINCT user_id FROM e) u CROSS JOIN (SELECT unnest(range(lo, hi + 1)) AS day FROM (SELECT min(day) AS lo, max(day) AS hi FROM e)) t LEFT JOIN e ON e.user_id = u.user_id AND e.day = t.day),
  b AS (SELECT *, last_value(CASE WHEN v IS NOT NULL THEN day END IGNORE NULLS) OVER a AS pd, last_value(v IGNORE NULLS) OVER a AS pv, first_value(CASE WHEN v IS NOT NULL THEN day END IGNORE NULLS) OVER f AS nd, first_value(v IGNORE NULLS) OVER f AS nv FROM g
    WINDOW a AS (PARTITION BY user_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), f AS (PARTITION BY user_id ORDER BY day ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
 SELECT day, round(SUM(CASE WHEN pd IS NULL THEN nv WHEN nd IS NULL OR pd = nd THEN pv ELSE pv + (nv - pv) * (day - pd) / (nd - pd) END), 6) AS total, COUNT(v) AS known FROM b GROUP BY day"""

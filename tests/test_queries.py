@@ -35,8 +35,8 @@ def test_query_equals_sql(spark, oracle, name):
 def test_all_queries_read_every_part(spark, oracle):
     parts = {r[0] for r in oracle.sql("SELECT p_partkey FROM part").fetchall()}
     found = registry.queries()
-    assert parts <= {r.node for r in found["connected_components_all"](spark, SF).collect()}
-    assert {x for r in found["adjacency_all"](spark, SF).collect() for x in (r.a, r.b)} == parts
-    for name in ("paint_smallest_all", "cell_join_all"):
+    assert parts <= {r.node for r in found["connected_components"](spark, SF).collect()}
+    assert {x for r in found["adjacency"](spark, SF).collect() for x in (r.a, r.b)} == parts
+    for name in ("paint_smallest", "cell_join"):
         assert any(r.p_partkey % 10 for r in found[name](spark, SF).collect())
-    assert not any("% 10 = 0" in s or "p_size <= 3" in s for n, s in registry.oracle_sql().items() if n.endswith("_all"))
+    assert not any("% 10 = 0" in s or "p_size <= 3" in s for s in registry.oracle_sql().values())
