@@ -52,15 +52,19 @@ def manifest_diff(old: DataFrame, new: DataFrame, key: str, digest: str) -> Data
     return j.withColumn("state", state).where("state is not null").select(key, "state")
 
 
+def unsigned_varint(n: int, out: bytearray) -> None:
+    """Seven bits a byte, low ones first."""
+    while n > 127:
+        out.append(n & 127 | 128)
+        n >>= 7
+    out.append(n)
+
+
 def varint(values: list[int]) -> bytes:
-    """Zigzag varints, seven bits a byte, low ones first."""
+    """Zigzag varints."""
     out = bytearray()
     for v in values:
-        n = (v << 1) ^ (v >> 63)
-        while n > 127:
-            out.append(n & 127 | 128)
-            n >>= 7
-        out.append(n)
+        unsigned_varint((v << 1) ^ (v >> 63), out)
     return bytes(out)
 
 

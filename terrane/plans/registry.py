@@ -7,9 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrane.plans import measures, scalars, series, sets_and_codes, shapes, time_and_rules, upkeep
+from terrane.plans import control, game, measures, records, rule_queries, scalars, series, sets_and_codes, shapes, stores, time_and_rules, upkeep
 
-MODULES = (time_and_rules, measures, sets_and_codes, series, upkeep, shapes, scalars)
+MODULES = (time_and_rules, measures, sets_and_codes, series, upkeep, shapes, scalars, rule_queries, game, records, stores, control)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

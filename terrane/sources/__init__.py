@@ -16,14 +16,26 @@ def csv(spark: SparkSession, path: str, schema: str, header: bool = True, as_tex
     return df.na.fill("") if as_text else df
 
 
-def geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
-    """One row a feature of FeatureCollection files: properties (a DDL schema) and rings as arrays of points."""
-    geometry = "struct<type: string, coordinates: string>"
-    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", f"struct<features: array<struct<properties: struct<{properties}>, geometry: {geometry}>>>").alias("d"))
+_GEOMETRY = "struct<type: string, coordinates: string>"
+
+
+def _features(raw: DataFrame, properties: str) -> DataFrame:
+    """One row a feature of texts that hold a collection each: the properties, type and polygons (rings of [x, y])."""
+    raw = raw.select(F.from_json("value", f"struct<features: array<struct<properties: struct<{properties}>, geometry: {_GEOMETRY}>>>").alias("d"))
     f = raw.select(F.explode("d.features").alias("f")).select("f.properties.*", "f.geometry.type", "f.geometry.coordinates")
     one = F.array(F.from_json("coordinates", "array<array<array<double>>>"))
     many = F.from_json("coordinates", "array<array<array<array<double>>>>")
-    return f.withColumn("polygons", F.when(F.col("type") == "Polygon", one).otherwise(many)).drop("coordinates")
+    return f.withColumn("polygons", F.when(F.col("type") == "Polygon", one).when(F.col("type") == "MultiPolygon", many)).drop("coordinates")
+
+
+def geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
+    """Features of FeatureCollection files (properties: a DDL list of fields). A file is one row, so it must fit a task."""
+    return _features(spark.read.text(path, wholetext=True), properties)
+
+
+def geojson_lines(spark: SparkSession, path: str, properties: str) -> DataFrame:
+    """The same of files with one FeatureCollection a line, which split like any text."""
+    return _features(spark.read.text(path), properties)
 
 
 def unpacked(spark: SparkSession, path: str) -> DataFrame:

@@ -96,3 +96,114 @@ def test_cells_and_graph(spark):
     edges = spark.createDataFrame([(3, 2), (2, 1), (9, 8)], "src int, dst int")
     assert sorted((r.node, r.label) for r in one(graph.components(edges))) == [(1, 1), (2, 1), (3, 1), (8, 8), (9, 8)]
     assert sorted((r.node, r.n_hops) for r in one(graph.hops(edges, spark.createDataFrame([(3,)], "n int")))) == [(1, 2), (2, 1), (3, 0)]
+
+
+def test_nearest_sites_end_on_odd_coordinates(spark):
+    """NaN, infinite and null coordinates are left out, and the rounds end."""
+    from terrane.operators import spatial
+
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, float("nan"), 1.0), (3, None, 2.0), (4, float("inf"), 0.0), (5, 900.0, 900.0)], "pid long, x double, y double")
+    sites = spark.createDataFrame([(1, 1.0, 0.0), (2, 800.0, 900.0), (3, float("nan"), 0.0)], "sid long, x double, y double")
+    got = {r.pid: (r.sid, r.dist) for r in spatial.nearest_site(points, sites, 0.5).collect()}
+    assert got == {1: (1, 1.0), 5: (2, 100.0)}
+
+
+def test_hops_have_no_limit(spark):
+    from terrane.operators import graph
+
+    edges = spark.createDataFrame([(i, i + 1) for i in range(130)] + [(500, 501)], "src int, dst int").coalesce(1)
+    got = {r.node: r.n_hops for r in graph.hops(edges, spark.createDataFrame([(0,)], "node int")).collect()}
+    assert got == {i: i for i in range(131)}
+
+
+def test_manifest_diff_of_null_digests(spark):
+    from terrane.operators import encode
+
+    old = spark.createDataFrame([("a", None), ("b", None), ("c", "1"), ("d", "1")], "path string, digest string")
+    new = spark.createDataFrame([("a", None), ("b", "2"), ("c", None), ("e", None)], "path string, digest string")
+    got = {r.path: r.state for r in encode.manifest_diff(old, new, "path", "digest").collect()}
+    assert got == {"b": "differs", "c": "differs", "d": "missing", "e": "extra"}
+
+
+def test_allocation_without_weight(spark):
+    """All weights zero: the fallback, and equal weights where that is zero too."""
+    from terrane.operators import allocate
+
+    rows = [("a", i, 0.0, f, 8) for i, f in ((1, 1.0), (2, 3.0))] + [("b", i, 0.0, 0.0, 5) for i in (1, 2, 3)] + [("c", 1, None, None, 4)]
+    df = spark.createDataFrame(rows, "g string, i int, w double, area double, total int")
+    got = {(r.g, r.i): r.n for r in allocate.largest_remainder(df, ["g"], "w", "total", ["i"], "n", fallback="area").collect()}
+    assert got == {("a", 1): 2, ("a", 2): 6, ("b", 1): 2, ("b", 2): 2, ("b", 3): 1, ("c", 1): 4}
+    plain = {(r.g, r.i): r.n for r in allocate.largest_remainder(df, ["g"], "w", "total", ["i"], "n").collect()}
+    assert plain["a", 1] == plain["a", 2] == 4
+
+
+def test_drawn_areas_in_rules_and_tables(spark):
+    from pyspark.sql import functions as F
+
+    from terrane.operators import rule_tables, rules
+
+    points = spark.createDataFrame([(0, 5.0, 5.0), (1, 1.0, 8.0), (2, 15.0, 5.0), (3, 30.2, 50.0), (4, None, 1.0)], "k int, x double, y double")
+    area = "poly:0 0;10 0;5 10|box:14,4,16,6|circle:30,50,30"
+    direct = {r.k for r in points.where(rules.geo(area, F.col("x"), F.col("y"))).collect()}
+    kept = {r.k for r in points.withColumn("a", F.lit(area)).where(rule_tables.in_area(F.col("a"), F.col("x"), F.col("y"))).collect()}
+    assert direct == kept == {0, 2, 3}
+
+
+def test_member_lists_refuse_unknown_names(spark):
+    import pytest
+
+    from terrane.operators import rule_tables
+
+    units = spark.createDataFrame([(1, "AAA", "P", "one"), (2, "AAA", "Q", "two"), (3, "BBB", "P", "one")], "unit_id int, iso3 string, parent string, name string")
+    rows = "row_no int, iso3 string, name string, members string, start string, stop string"
+    good = spark.createDataFrame([(1, "AAA", "x", "AAA/P:*;BBB:one", "1900", None), (2, "AAA", "*", "", "1910", "1920"), (3, "BBB", "y", "BBB:*;-one", None, None)], rows)
+    got = {(r.row_no, r.unit_id) for r in rule_tables.members(good, units).collect()}
+    assert got == {(1, 1), (1, 3), (2, 2)}
+    with pytest.raises(Exception, match="unknown member"):
+        rule_tables.members(spark.createDataFrame([(1, "AAA", "x", "three", None, None)], rows), units).collect()
+
+
+def test_clusters_respect_their_units(spark):
+    """Against a plain single linkage over all pairs, nearest first."""
+    import math
+    import random
+
+    from terrane.operators import records
+
+    r = random.Random(5)
+    pts = [(r.choice("ab"), i, r.random() * 6, r.random() * 6, r.choice([None, None, 1, 2, 3])) for i in range(120)]
+    df = spark.createDataFrame(pts, "name string, pid long, x double, y double, unit int")
+    got = {x.pid: x.cluster for x in records.constrained_clusters(df, "name", 0.7).collect()}
+    parent, sets = {p[1]: p[1] for p in pts}, {p[1]: set() if p[4] is None else {p[4]} for p in pts}
+    find = lambda i: i if parent[i] == i else find(parent[i])
+    pairs = sorted((math.hypot(a[2] - b[2], a[3] - b[3]), a[1], b[1]) for a in pts for b in pts if a[0] == b[0] and a[1] < b[1])
+    for d, i, j in pairs:
+        a, b = sorted((find(i), find(j)))
+        if d <= 0.7 and a != b and not (sets[a] and sets[b] and not sets[a] & sets[b]):
+            parent[b] = a
+            sets[a] |= sets[b]
+    assert got == {i: find(i) for i in parent}
+
+
+def test_outline_streams_and_dictionaries(spark):
+    import pytest
+
+    from terrane.sources import store
+
+    square = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]
+    tiny = [(5.0, 5.0), (5.0001, 5.0), (5.0, 5.0001)]
+    raw = store._stream(store._quantised([[square, [(0.2, 0.2), (0.4, 0.2), (0.2, 0.4)]]], 0.01)) + store._stream(store._quantised([[tiny]], 0.01))
+    units = list(store.decode_stream(raw))
+    assert [u[0] for u in units] == [0, 1]
+    assert units[-1][1] == len(raw)
+    assert [len(p) for p in units[0][2]] == [2]
+    assert len(units[1][2][0][0]) == 3  # a tiny unit stays, as a triangle
+    for bad in (raw[:-1], b"\x01\x01\x01" + b"\xff" * 11):
+        with pytest.raises(ValueError):
+            list(store.decode_stream(bad))
+    base = spark.createDataFrame([(0, "a"), (1, None), (2, "b")], "n long, value string")
+    mark = store.Appended.record(base)
+    grown = store.Appended.append(base, spark.createDataFrame([("c",), ("a",)], "value string"))
+    assert store.Appended.strip(grown, mark).count() == 3
+    with pytest.raises(ValueError, match="changed"):
+        store.Appended.strip(grown.na.fill("x"), mark)
