@@ -43,15 +43,15 @@ WITH v AS (SELECT c_nationkey AS key, year(o_orderdate) AS yr, avg(o_totalprice)
  g AS (SELECT n_nationkey AS key, n_regionkey AS region, t.yr, CASE WHEN n_nationkey % 5 < 3 AND (n_nationkey + t.yr) % 4 = 0 THEN v END AS seen, CASE WHEN n_nationkey % 5 IN (1, 2, 3) THEN CAST(1000 + n_nationkey * 10 + (t.yr - 1995) * 50 AS DOUBLE) END AS path
   FROM nation CROSS JOIN range(1995, 2002) t(yr) LEFT JOIN v ON v.key = n_nationkey AND v.yr = t.yr),
  r AS (SELECT *, CASE WHEN seen IS NOT NULL AND path IS NOT NULL THEN ln(seen / path) END AS lg, ln(seen) AS ls FROM g),
- s AS (SELECT *, COUNT(lg) OVER k > 0 AS both, COUNT(path) OVER k > 0 AS paths, COUNT(seen) OVER k > 0 AS sights FROM r WINDOW k AS (PARTITION BY key)),
+ s AS (SELECT *, COUNT(lg) OVER k > 0 AS pair, COUNT(path) OVER k > 0 AS paths, COUNT(seen) OVER k > 0 AS sights FROM r WINDOW k AS (PARTITION BY key)),
  m AS (SELECT yr, median(exp(lg)) AS x FROM r GROUP BY yr),
  mf AS (SELECT a.yr, (SELECT max_by(b.x, b.yr) FROM m b WHERE b.yr <= a.yr AND b.x IS NOT NULL) AS pv, (SELECT max(b.yr) FROM m b WHERE b.yr <= a.yr AND b.x IS NOT NULL) AS pt, (SELECT min_by(b.x, b.yr) FROM m b WHERE b.yr >= a.yr AND b.x IS NOT NULL) AS nv, (SELECT min(b.yr) FROM m b WHERE b.yr >= a.yr AND b.x IS NOT NULL) AS nt FROM m a),
  mm AS (SELECT yr, CASE WHEN pt IS NULL THEN nv WHEN nt IS NULL OR pt = nt THEN pv ELSE pv + (nv - pv) * (yr - pt) / (nt - pt) END AS ratio FROM mf),
  f AS (SELECT s.*, last_value(CASE WHEN lg IS NOT NULL THEN yr END IGNORE NULLS) OVER b AS pt, last_value(lg IGNORE NULLS) OVER b AS pv, first_value(CASE WHEN lg IS NOT NULL THEN yr END IGNORE NULLS) OVER n AS nt, first_value(lg IGNORE NULLS) OVER n AS nv,
    last_value(CASE WHEN ls IS NOT NULL THEN yr END IGNORE NULLS) OVER b AS qt, last_value(ls IGNORE NULLS) OVER b AS qv, first_value(CASE WHEN ls IS NOT NULL THEN yr END IGNORE NULLS) OVER n AS ot, first_value(ls IGNORE NULLS) OVER n AS ov FROM s
   WINDOW b AS (PARTITION BY key ORDER BY yr ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), n AS (PARTITION BY key ORDER BY yr ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
- c AS (SELECT key, region, f.yr, CASE WHEN seen IS NOT NULL THEN seen WHEN both THEN path * exp(CASE WHEN pt IS NULL THEN nv WHEN nt IS NULL OR pt = nt THEN pv ELSE pv + (nv - pv) * (f.yr - pt) / (nt - pt) END) WHEN paths THEN path * ratio WHEN sights AND qt IS NOT NULL AND ot IS NOT NULL THEN exp(qv + (ov - qv) * (f.yr - qt) / (ot - qt)) END AS income,
-   CASE WHEN seen IS NOT NULL THEN 'seen' WHEN both THEN 'chained' WHEN paths THEN 'scaled' WHEN sights AND qt IS NOT NULL AND ot IS NOT NULL THEN 'log_linear' END AS flag FROM f JOIN mm ON mm.yr = f.yr),
+ c AS (SELECT key, region, f.yr, CASE WHEN seen IS NOT NULL THEN seen WHEN pair THEN path * exp(CASE WHEN pt IS NULL THEN nv WHEN nt IS NULL OR pt = nt THEN pv ELSE pv + (nv - pv) * (f.yr - pt) / (nt - pt) END) WHEN paths THEN path * ratio WHEN sights AND qt IS NOT NULL AND ot IS NOT NULL THEN exp(qv + (ov - qv) * (f.yr - qt) / (ot - qt)) END AS income,
+   CASE WHEN seen IS NOT NULL THEN 'seen' WHEN pair THEN 'chained' WHEN paths THEN 'scaled' WHEN sights AND qt IS NOT NULL AND ot IS NOT NULL THEN 'log_linear' END AS flag FROM f JOIN mm ON mm.yr = f.yr),
  p AS (SELECT region, yr, median(income) AS peers FROM c GROUP BY ALL)
 SELECT key, CAST(c.yr AS INTEGER) AS "at", round(coalesce(income, peers), 4) AS income, coalesce(flag, CASE WHEN peers IS NOT NULL THEN 'peers' END) AS flag FROM c JOIN p ON p.region = c.region AND p.yr = c.yr"""
 
