@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from terrane.llm import minhash
 from terrane.llm._bytes import SPACED, blob_table, blobs, mix, ragged, runs, tidy, word_hashes
-from terrane.llm._shared import small_batches, stored
+from terrane.llm._shared import discard, small_batches, stored
 
 #: Characters a shingle. A changed character takes up to SHINGLE shingles from either line, so at 0.8 it still links lines of
 #: 10 * SHINGLE - 1 = 49 characters or more (more if they repeat shingles). Fewer characters make unrelated lines alike: with
@@ -156,9 +156,11 @@ def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thresho
     node and root node of the lines that are similar to others."""
     small_batches(docs.sparkSession)
     keyed = _keyed(docs, key, text)
-    rows = signatures(keyed)
-    lines = stored(rows.groupBy("node").agg(F.min(F.struct("key", "line")).alias("at"), F.max("bands").alias("bands")).select("node", "at.key", "at.line", "bands"), "lines")
-    clusters = stored(minhash.candidates(lines), "clusters")
+    # signatures stay where they were made: places are told apart by small rows, and candidates take repeated lines
+    rows = stored(signatures(keyed), "signatures", "none")
+    lines = stored(rows.groupBy("node").agg(F.min(F.struct("key", "line")).alias("at")).select("node", "at.key", "at.line"), "lines")
+    clusters = stored(minhash.candidates(rows), "clusters")
+    discard(rows)
     wanted = lines.select("node", "key", "line").join(clusters, "node")
     verified = stored(minhash.verify(_bodies(keyed, wanted), clusters, shingler, threshold).select("node", "root"), "verified")
     # a component keeps its first line, which need not be the node with the smallest hash

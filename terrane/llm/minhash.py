@@ -85,7 +85,8 @@ def _ties(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def candidates(items: DataFrame) -> DataFrame:
-    """node and cluster of the items that share a band with another. items: node long (distinct), bands binary.
+    """node and cluster of the items that share a band with another. items: node long, bands binary; an item
+    may come several times.
 
     A task combines its own rows first: of a key it sends on one node only, so a key that a third of all items share
     reaches a reducer once a task, packed with others, and not once an item."""
