@@ -12,7 +12,7 @@ from __future__ import annotations
 import base64
 import heapq
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -252,10 +252,12 @@ def tokenizer(path: str, pattern: str) -> TreeBPE:
     return _loaded[path, pattern]
 
 
-def _mapped(df: DataFrame, column: str, out: str, kind: pa.DataType, sql: str, path: str, pattern: str, step, limit: int) -> DataFrame:
+def _mapped(df: DataFrame, column: str, outs: list[str], path: str, pattern: str, step: Callable[[TreeBPE, bytes], tuple[bytes, ...]], limit: int) -> DataFrame:
+    """Binary columns `outs` made from one column, value by value, in one worker a task."""
     small_batches(df.sparkSession)
-    if out in df.columns:
-        raise ValueError(f"the input has a column {out} already")
+    clash = set(outs) & set(df.columns)
+    if clash:
+        raise ValueError(f"the input has columns {sorted(clash)} already")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path, pattern)
@@ -265,25 +267,36 @@ def _mapped(df: DataFrame, column: str, out: str, kind: pa.DataType, sql: str, p
                 made, size, first = [], 0, 0
                 for i, value in enumerate(values):
                     made.append(step(bpe, value.as_py()))
-                    size += len(made[-1])
+                    size += sum(map(len, made[-1]))
                     if size >= limit or i + 1 == len(values):
                         part = batch.slice(first, i + 1 - first)
-                        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, kind)], names=[*part.schema.names, out])
+                        yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array(x, pa.binary()) for x in zip(*made, strict=True))], names=[*part.schema.names, *outs])
                         made, size, first = [], 0, i + 1
         finally:
             bpe.forget()
 
-    return df.mapInArrow(tidy(work), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + f", `{out}` {sql}")
+    return df.mapInArrow(tidy(work), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + "".join(f", `{o}` binary" for o in outs))
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", limit: int = 8 << 20) -> DataFrame:
     """Adds the token ids of whole texts as a binary column of little-endian unsigned 32-bit integers.
 
     Null and empty texts have no ids. Rows are kept as they are, repeats and extra columns included. No special tokens.
+    An empty table stays empty. Columns named like the new ones are an error.
     """
-    return _mapped(df, text, ids, pa.binary(), "binary", path, pattern, lambda bpe, b: bpe.encode(b.decode("utf-8")), limit)
+    return _mapped(df, text, [ids], path, pattern, lambda bpe, b: (bpe.encode(b.decode("utf-8")),), limit)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded", limit: int = 8 << 20) -> DataFrame:
     """Adds the bytes that the ids stand for; null ids decode to empty bytes. An id without a token raises KeyError."""
-    return _mapped(df, ids, out, pa.binary(), "binary", path, pattern, lambda bpe, b: bpe.decode(np.frombuffer(b, "<u4")), limit)
+    return _mapped(df, ids, [out], path, pattern, lambda bpe, b: (bpe.decode(np.frombuffer(b, "<u4")),), limit)
+
+
+def encode_and_decode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "decoded", limit: int = 8 << 20) -> DataFrame:
+    """Both: the ids, and the bytes that these ids decode to, in one worker a task instead of two."""
+
+    def step(bpe: TreeBPE, b: bytes) -> tuple[bytes, bytes]:
+        made = bpe.encode(b.decode("utf-8"))
+        return made, bpe.decode(np.frombuffer(made, "<u4"))
+
+    return _mapped(df, text, [ids, out], path, pattern, step, limit)

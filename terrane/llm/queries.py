@@ -29,9 +29,8 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from terrane.llm import bpe
 
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern).drop("text")
-    ids = ids.select("doc_id", "ids", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"))
-    return bpe.decode(ids, path, pattern).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    done = bpe.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern)
+    return done.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,6 +54,7 @@ def test_bpe_equals_tiktoken_and_round_trips(spark, docs):
     assert all(np.frombuffer(odd.encode(t), "<u4").tolist() == want.encode_ordinary(t) for t in [*texts[:200], "one two\nthree 4 five"])
     got = bpe.decode(bpe.encode(docs, path, P.PATTERN), path, P.PATTERN).collect()
     assert all(bytes(x.decoded) == (x.text or "").encode() and x.extra == "e" for x in got)
+    assert sorted(bpe.encode_and_decode(docs, path, P.PATTERN).collect(), key=repr) == sorted(got, key=repr)
 
 
 @pytest.mark.parametrize("often", [katz.OFTEN, 3])
