@@ -270,8 +270,9 @@ def _trees(runs_df: DataFrame) -> DataFrame:
 
 
 def _shared(of: DataFrame, by: str) -> DataFrame:
-    """The groups that more than one document has, with their numbers of rows."""
-    return of.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.min("key").alias("a"), F.max("key").alias("z")).where("a < z").select(by, "rows")
+    """The groups that more than one document has, with their numbers of rows. Stored, so that a join with it is a stage of
+    its own, in which adaptive execution can split a frequent group."""
+    return stored(of.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.min("key").alias("a"), F.max("key").alias("z")).where("a < z").select(by, "rows"), "groups")
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -283,7 +284,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     found = stored(occurrences(keyed), "anchors")
     met = stored(found.join(_shared(found, "anchor").select("anchor"), "anchor", "left_semi"), "shared")
     around = ["anchor", "ctx", "off", "n"]
-    least = met.groupBy(*around).agg(F.min("key").alias("least"))
+    least = stored(met.groupBy(*around).agg(F.min("key").alias("least")), "least")
     met = stored(met.join(least, around).select("*", (F.col("key") > F.col("least")).alias("covered")), "covered")
     covered = met.where("covered").select("key", "id", F.col("pos").alias("first"), (F.col("n") + WINDOW - 1).alias("words"), F.lit(0).alias("by"))
     rest = met.where("not covered").select("anchor", "key", "id", "pos", "off", "n")
@@ -292,7 +293,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     second = spans_.where("level = 2")
     second = stored(second.join(_shared(second, "g"), "g"), "longer")
     windows = stored(_whole(second.where(F.col("rows") > _most())), "windows")
-    one = windows.groupBy("h1", "h2").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a < z")
+    one = stored(windows.groupBy("h1", "h2").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a < z"), "least")
     third = windows.join(one, ["h1", "h2"]).where("key > a").select("key", "id", F.col("pos").alias("first"), F.lit(WINDOW).alias("words"), F.lit(3).alias("by"))
     first = _trees(spans_.where("level = 1")).withColumn("by", F.lit(1))
     second = _trees(second.where(F.col("rows") <= _most())).withColumn("by", F.lit(2))
