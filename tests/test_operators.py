@@ -234,3 +234,12 @@ def test_nearest_named_of_equally_near_places(spark):
     points = spark.createDataFrame([(1795, "n", 0.95, 1.7)], "pid long, name string, x double, y double")
     places = spark.createDataFrame([(2001796, "n", 0.9600000000000023, 1.5), (6011794, "n", 0.9399999999999977, 1.9)], "place_id long, name string, x double, y double")
     assert [r.place_id for r in records.nearest_named(points, places, "name", 1.5).collect()] == [2001796]
+
+
+def test_points_per_box_of_equal_ones(spark):
+    """100,000 equal points in 100,000 equal boxes: counted, not spelled out as pairs."""
+    points = spark.range(100000).select(F.lit(1.5).alias("x"), F.lit(2.0).alias("y")).unionByName(spark.createDataFrame([(9.0, 9.0), (None, 1.0)], "x double, y double"))
+    boxes = spark.range(100000).select("id", F.lit(1.0).alias("x1"), F.lit(1.0).alias("y1"), F.lit(2.0).alias("x2"), F.lit(2.0).alias("y2"))
+    boxes = boxes.unionByName(spark.createDataFrame([(0, 8.0, 8.0, 9.0, 9.0), (-1, 3.0, 3.0, 4.0, 4.0)], boxes.schema))
+    got = {r.id: r.n for r in spatial.points_per_box(points, boxes, "id", "x", "y", 4.0).collect()}
+    assert got == {i: 100000 + (i == 0) for i in range(100000)}
