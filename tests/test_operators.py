@@ -243,3 +243,14 @@ def test_points_per_box_of_equal_ones(spark):
     boxes = boxes.unionByName(spark.createDataFrame([(0, 8.0, 8.0, 9.0, 9.0), (-1, 3.0, 3.0, 4.0, 4.0)], boxes.schema))
     got = {r.id: r.n for r in spatial.points_per_box(points, boxes, "id", "x", "y", 4.0).collect()}
     assert got == {i: 100000 + (i == 0) for i in range(100000)}
+
+
+def test_adjacency_tells_pairs_once(spark):
+    """Keys of equal, overlapping and touching cells against all pairs; no pair is made twice and taken out again."""
+    cells = [(k, g, h) for k in range(60) for g in range(k % 5, k % 5 + 1 + k % 3) for h in range(k % 4, k % 4 + 2)]
+    df = spark.createDataFrame([(g, h, k) for k, g, h in cells] + [(1, 1, None), (1, 1, 6)], "gx long, gy long, k long")
+    done = spatial.adjacency(df, "k")
+    of = {k: {(g, h) for j, g, h in cells if j == k} for k in range(60)}
+    of[6].add((1, 1))
+    assert sorted((r.a, r.b) for r in done.collect()) == sorted((a, b) for a in of for b in of if a < b and of[a] & of[b])
+    assert done._jdf.queryExecution().optimizedPlan().toString().startswith("Project")
