@@ -184,7 +184,8 @@ SELECT CAST(batch AS INTEGER) AS batch, CAST(row_number() OVER (ORDER BY batch,
 
 def outline_stream(spark: SparkSession, d: str) -> DataFrame:
     """Parts' outlines as squares, some with a hole or a second or tiny part, written as streams and read back."""
-    p = table(spark, d, "part")
+    # a small file is few tasks, but its outlines are much work
+    p = table(spark, d, "part").select("p_partkey", "p_size").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     x, y = F.col("p_partkey") % 90 / 7, F.col("p_size") / 3
     square = lambda x, y, a: F.array(*[F.array((x + dx * a).cast("double"), (y + dy * a).cast("double")) for dx, dy in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))])
     none = F.array().cast("array<array<array<double>>>")

@@ -263,3 +263,14 @@ def test_overlap_totals_of_equal_boxes(spark):
     right = spark.range(100000).select(F.col("id").alias("b"), *box).unionByName(spark.createDataFrame([(-7, 9.0, 9.0, 9.0, 9.0), (-8, 9.5, 9.0, 9.5, 9.0)], "b long, x1 double, y1 double, x2 double, y2 double"))
     got = spatial.overlap_totals(left, right, 4.0).groupBy("n", "keys").count().collect()
     assert [tuple(r) for r in got] == [(100001, sum(range(100000)) - 7, 100000)]
+
+
+def test_outline_streams_in_batches(spark):
+    """Streams of many rows and an outline of many points come back whole; no outline gives no points."""
+    from terrane.sources import store
+
+    ring = lambda n, k: [[float(i), float(k + (i % 2) * 0.5 + (i == n - 1))] for i in range(n)]
+    rows = [(k, None if k % 10 == 3 else [[ring(30000 if k == 5 else 4, k)]]) for k in range(40)]
+    df = spark.createDataFrame(rows, "k int, units array<array<array<array<double>>>>").coalesce(1)
+    got = {(r.k, r.part, r.ring, r.point): (r.x, r.y) for r in store.decode_outlines(df.select("k", store.encode_outlines(0.01)("units").alias("data")), "k", "data").collect()}
+    assert got == {(k, 0, 0, i): tuple(p) for k, u in rows if u for i, p in enumerate(u[0][0])}
