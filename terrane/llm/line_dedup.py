@@ -25,6 +25,8 @@ from terrane.llm._shared import discard, small_batches, stored
 SHINGLE, THRESHOLD, ROWS = 5, 0.8, 7
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 BANDS = minhash.bands_for(THRESHOLD, 0.995, ROWS)
+#: Bands lie in this many columns, which meet one after another, so that only one column's keys are shuffled at a time.
+COLUMNS = 3
 
 
 def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -86,7 +88,7 @@ def shingler(bodies: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.concatenate(bounds)
 
 
-_LINE = pa.schema([("node", pa.int64()), ("key", pa.int64()), ("line", pa.int32()), ("bands", pa.binary())])
+_LINE = pa.schema([("node", pa.int64()), ("key", pa.int64()), ("line", pa.int32()), *[(f"bands{c}", pa.binary()) for c in range(COLUMNS)]])
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -116,9 +118,10 @@ def signatures(keyed: DataFrame) -> DataFrame:
                     parts.append(minhash.band_keys(s, bounds, BANDS, ROWS))
                     i = j
                 keys = np.concatenate(parts)
-                yield blob_table(_LINE, {"node": node, "key": ids[first + text], "line": number.astype(np.int32), "bands": blobs(keys.ravel(), np.arange(len(keys) + 1) * BANDS)})
+                columns = {f"bands{c}": blobs(k.ravel(), np.arange(len(k) + 1) * k.shape[1]) for c, k in enumerate(np.array_split(keys, COLUMNS, axis=1))}
+                yield blob_table(_LINE, {"node": node, "key": ids[first + text], "line": number.astype(np.int32), **columns})
 
-    return keyed.mapInArrow(tidy(work), "node long, key long, line int, bands binary")
+    return keyed.mapInArrow(tidy(work), ", ".join(["node long, key long, line int", *[f"bands{c} binary" for c in range(COLUMNS)]]))
 
 
 _SPAN = pa.schema([("cluster", pa.int64()), ("node", pa.int64()), ("weight", pa.int64()), ("body", pa.binary())])

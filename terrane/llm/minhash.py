@@ -7,6 +7,7 @@ no pair that shares a band is lost. Clusters larger than BLOCK are compared bloc
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -85,8 +86,9 @@ def _ties(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def candidates(items: DataFrame) -> DataFrame:
-    """node and cluster of the items that share a band with another. items: node long, bands binary; an item
-    may come several times.
+    """node and cluster of the items that share a band with another. items: node long and band keys in binary columns,
+    all whose names begin with bands; an item may come several times. Several columns meet one after another: the links of each
+    are stored, which are few, and its keys' shuffle files go before the next column's are written.
 
     A task combines its own rows first: of a key it sends on one node only, so a key that a third of all items share
     reaches a reducer once a task, packed with others, and not once an item."""
@@ -107,7 +109,7 @@ def candidates(items: DataFrame) -> DataFrame:
             yield blob_table(_PACKED, {"p": np.arange(n_parts, dtype=np.int32), "keys": blobs(keys, bounds), "nodes": blobs(nodes, bounds), "src": blobs(src, spread), "dst": blobs(dst, spread)})
 
         for b in batches:
-            rows = as_binary(b.column("bands"))
+            rows = as_binary(b.column(1))
             if not len(rows):
                 continue
             keys = np.frombuffer(b"".join(rows.to_pylist()), np.uint64).reshape(len(rows), -1)
@@ -131,8 +133,11 @@ def candidates(items: DataFrame) -> DataFrame:
             for i in range(0, len(src), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(src[i : i + 50_000]), pa.array(dst[i : i + 50_000])], names=["src", "dst"])
 
-    links = items.select("node", "bands").mapInArrow(tidy(packed), _PACKED_SQL).repartitionById(n_parts, "p").mapInArrow(tidy(joined), "src long, dst long")
-    return components(links).select("node", F.col("root").alias("cluster"))
+    columns = [c for c in items.columns if c.startswith("bands")]
+    links = [items.select("node", c).mapInArrow(tidy(packed), _PACKED_SQL).repartitionById(n_parts, "p").mapInArrow(tidy(joined), "src long, dst long") for c in columns]
+    if len(links) > 1:
+        links = [stored(x, "ties") for x in links]
+    return components(functools.reduce(DataFrame.unionByName, links)).select("node", F.col("root").alias("cluster"))
 
 
 #: Sets of some bodies: unsorted 64-bit shingles, and where each body's begin (one more entry than bodies).

@@ -520,3 +520,16 @@ def test_pipeline_stages_take_effect(spark):
     assert last.where("n_tokens > 0").count() == rows.where("length(text) > 0").count()
     assert sorted(queries.queries()) == sorted(f"op{n}_{x}" for n, x in {1: "line_dedup", 2: "byte_bpe", 3: "katz", 4: "decontamination", 5: "warc", 6: "ngram_join", 7: "virtual_slots", 8: "embedding_dedup", 9: "substring_dedup", 10: "quality"}.items())
     assert zlib.crc32(b"0") % 3 in (0, 1, 2)
+
+
+def test_candidates_of_bands_in_several_columns(spark):
+    """Band keys in three columns tie the same items as in one, also through items that share bands of different columns."""
+    from terrane.llm import minhash
+
+    r = np.random.default_rng(8)
+    keys = r.integers(0, 400, (90, 6)).astype(np.uint64) + np.arange(6, dtype=np.uint64) * np.uint64(1000)
+    one = spark.createDataFrame([(i, k.tobytes()) for i, k in enumerate(keys)], "node long, bands binary")
+    cut = spark.createDataFrame([(i, *(k[c : c + 2].tobytes() for c in (0, 2, 4))) for i, k in enumerate(keys)], "node long, bands0 binary, bands1 binary, bands2 binary")
+    want = {(x.node, x.cluster) for x in minhash.candidates(one).collect()}
+    assert len({c for _, c in want}) > 1
+    assert {(x.node, x.cluster) for x in minhash.candidates(cut).collect()} == want
