@@ -164,6 +164,11 @@ def kept_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", thresho
     lines = stored(rows.groupBy("node").agg(F.min(F.struct("key", "line")).alias("at")).select("node", "at.key", "at.line"), "lines")
     clusters = stored(minhash.candidates(rows), "clusters")
     discard(rows)
+    large = stored(clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > minhash.BLOCK).select("cluster"), "large")
+    if large.take(1):
+        # most of a large cluster is tied by chance; comparing it whole would copy each text once a block
+        wanted = lines.select("node", "key", "line").join(clusters.join(large, "cluster", "left_semi"), "node")
+        clusters = clusters.join(large, "cluster", "left_anti").unionByName(minhash.parted(_bodies(keyed, wanted), shingler, BANDS, ROWS, threshold, COLUMNS))
     wanted = lines.select("node", "key", "line").join(clusters, "node")
     verified = stored(minhash.verify(_bodies(keyed, wanted), clusters, shingler, threshold).select("node", "root"), "verified")
     # a component keeps its first line, which need not be the node with the smallest hash

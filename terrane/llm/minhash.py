@@ -8,6 +8,7 @@ no pair that shares a band is lost. Clusters larger than BLOCK are compared bloc
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrane.llm._bytes import as_binary, blob_table, blobs, mix, tidy
-from terrane.llm._shared import partitions, stored
+from terrane.llm._shared import discard, partitions, stored
 from terrane.llm.components import components, labels, reduced
 
 BLOCK = 3000
@@ -41,8 +42,9 @@ def bands_for(similarity: float, target: float, rows: int) -> int:
     return b
 
 
-def band_keys(shingles: np.ndarray, offsets: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One 64-bit key a band for each item (none of which is empty), from minima of independent permutations."""
+def band_keys(shingles: np.ndarray, offsets: np.ndarray, bands: int, rows: int, sketches: list[np.ndarray] | None = None) -> np.ndarray:
+    """One 64-bit key a band for each item (none of which is empty), from minima of independent permutations. sketches: gets
+    arrays of the items' last bytes of all minima."""
     out = np.zeros((len(offsets) - 1, bands), np.uint64)
     i = 0
     while i < len(out):
@@ -66,6 +68,8 @@ def band_keys(shingles: np.ndarray, offsets: np.ndarray, bands: int, rows: int)
         for r in range(rows):
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + least[r::rows])
         out[i:j] = key.T
+        if sketches is not None:
+            sketches.append(least.T.astype(np.uint8))
         i = j
     return out
 
@@ -140,6 +144,91 @@ def candidates(items: DataFrame) -> DataFrame:
     return components(functools.reduce(DataFrame.unionByName, links)).select("node", F.col("root").alias("cluster"))
 
 
+def _linked(sketch: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the sketches of a bucket as all pairs that agree in at least so many bytes do."""
+    rest, src, dst = np.arange(len(sketch)), [], []
+    while len(rest):
+        front, rest = [int(rest[0])], rest[1:]
+        while front and len(rest):
+            at = front.pop()
+            near = (sketch[rest] == sketch[at]).sum(1) >= least
+            if near.any():
+                found, rest = rest[near], rest[~near]
+                src.append(np.full(len(found), at))
+                dst.append(found)
+                front += found.tolist()
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *src]), np.concatenate([none, *dst])
+
+
+def parted(bodies: DataFrame, shingler: Shingler, bands: int, rows: int, threshold: float, columns: int = 1) -> DataFrame:
+    """node and cluster of the items (node, body) again, without ties by chance: of the items that share a band only those
+    are tied whose sketches agree as those of similar ones do; an item may come several times. A pair at the threshold fails that with a chance below 1e-7.
+
+    Ties by chance grow with the square of the table and make one cluster of many, all pairs of which would be compared.
+    Sketches are sent only to bands that are shared, and a column of bands after another."""
+    spark = bodies.sparkSession
+    n, agree = bands * rows, threshold + (1 - threshold) / 256
+    least = n * agree - 6 * (n * agree * (1 - agree)) ** 0.5
+    schema = pa.schema([("node", pa.int64()), ("sketch", pa.binary()), *[(f"bands{c}", pa.binary()) for c in range(columns)]])
+
+    def marks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if len(b):
+                sketches: list[np.ndarray] = []
+                keys = band_keys(*shingler(b.column("body")), bands, rows, sketches)
+                parts = {f"bands{c}": blobs(k.ravel(), np.arange(len(k) + 1) * k.shape[1]) for c, k in enumerate(np.array_split(keys, columns, axis=1))}
+                yield blob_table(schema, {"node": b.column("node"), "sketch": blobs(np.concatenate(sketches).ravel(), np.arange(len(keys) + 1) * n), **parts})
+
+    def spelled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(np.asarray(b.column("node")), len(keys) // max(1, len(b))))], names=["key", "node"])
+
+    def links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in itertools.chain(batches, [None]):
+            if b is not None:
+                held.append(b)
+                if sum(len(x) for x in held) < 20_000:
+                    continue
+            if not held or not sum(len(x) for x in held):
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            key = table.column("key").to_numpy()
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            if b is not None:  # the last key may go on
+                held = table.slice(int(first[-1])).to_batches()
+                table, first = table.slice(0, int(first[-1])), first[:-1]
+            if not len(table):
+                continue
+            node = table.column("node").to_numpy()
+            sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
+            size = np.diff(np.append(first, len(node)))
+            two = first[size == 2]
+            two = two[(sketch[two] == sketch[two + 1]).sum(1) >= least]
+            src, dst = [two], [two + 1]
+            for at, to in zip(first[size > 2].tolist(), (first + size)[size > 2].tolist(), strict=True):
+                i, j = _linked(sketch[at:to], least)
+                src.append(i + at)
+                dst.append(j + at)
+            yield pa.RecordBatch.from_arrays([pa.array(node[np.concatenate(src)]), pa.array(node[np.concatenate(dst)])], names=["src", "dst"])
+
+    every = ", ".join(["node long, sketch binary", *[f"bands{c} binary" for c in range(columns)]])
+    marked = stored(bodies.select("node", "body").mapInArrow(tidy(marks), every), "sketches", "none")
+    found = []
+    for c in range(columns):
+        keys = marked.select("node", f"bands{c}").mapInArrow(tidy(spelled), "key long, node long")
+        shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+        met = keys.join(shared, "key").join(marked.select("node", "sketch"), "node").select("key", "node", "sketch")
+        met = met.repartition(2 * partitions(spark), "key").sortWithinPartitions("key", "node")
+        found.append(stored(met.mapInArrow(tidy(links), "src long, dst long"), "ties"))
+    done = stored(components(functools.reduce(DataFrame.unionByName, found)).select("node", F.col("root").alias("cluster")), "parted")
+    for x in (marked, *found):
+        discard(x)
+    return done
+
+
 #: Sets of some bodies: unsorted 64-bit shingles, and where each body's begin (one more entry than bodies).
 Shingler = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 

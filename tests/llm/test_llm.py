@@ -533,3 +533,24 @@ def test_candidates_of_bands_in_several_columns(spark):
     want = {(x.node, x.cluster) for x in minhash.candidates(one).collect()}
     assert len({c for _, c in want}) > 1
     assert {(x.node, x.cluster) for x in minhash.candidates(cut).collect()} == want
+
+
+def test_large_clusters_fall_into_families(spark, monkeypatch):
+    """Lines that share bands by chance (half of their characters are one passage) aren't compared as one cluster; near copies
+    still meet, and what is kept equals the result without parting."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    passage = " ".join(word() for _ in range(20))
+    texts = [passage + " " + " ".join(word() for _ in range(14)) for _ in range(600)]
+    texts += [texts[i][:-1] + c for i in range(20) for c in "xyz"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {(x.node, x.kept) for x in line_dedup.kept_lines(docs)[0].collect()}
+    seen = []
+    verify = minhash.verify
+    monkeypatch.setattr(minhash, "verify", lambda bodies, clusters, *a: seen.append(clusters.groupBy("cluster").count().agg({"count": "max"}).first()[0]) or verify(bodies, clusters, *a))
+    monkeypatch.setattr(minhash, "BLOCK", 50)
+    assert {(x.node, x.kept) for x in line_dedup.kept_lines(docs)[0].collect()} == want
+    assert sum(not kept for _, kept in want) == 60
+    assert seen[0] < 50
+    sketch = np.array([[0] * 4, [0] * 3 + [1], [0, 0, 1, 1], [2] * 4, [2, 2, 2, 3]], np.uint8)
+    assert sorted(zip(*(x.tolist() for x in minhash._linked(sketch, 3)), strict=True)) == [(0, 1), (1, 2), (3, 4)]
